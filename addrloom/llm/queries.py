@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .addressmatch import p3_found
+from .canonical import p6_found, p6_unmatched
+from .confusables import p1_forms, p1_found
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p6_found": p6_found, "p6_unmatched": p6_unmatched,
+}
 SQL: dict[str, str] = {}
