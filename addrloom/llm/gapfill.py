@@ -1,0 +1,85 @@
+"""Gaps in city, state and pincode filled from the records that share the row's PIN or post office.
+
+1. For both keys, the values of each field that isn't missing are counted; one shuffle of partly aggregated counts.
+2. From these counts comes the mutual information of every key and field: the edges of a Chow-Liu dependency tree that the keys
+   allow. A field is filled over its stronger edge and, where the row lacks that key or the key knows no value, over the other.
+3. A gap takes the most frequent value behind its key, a well-formed PIN before a malformed one. Gaps without one stay null.
+
+Key tables beyond the broadcast bound are joined by shuffle.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.names import MISSING
+from ..plans.tables import shared, small, spread, table
+
+#: The fields that each key may fill.
+EDGES = {"pincode": ("city", "state"), "post_office": ("city", "state", "pincode")}
+
+
+def typed(c: Column) -> Column:
+    """A value in capitals without white space around it; null if it is missing."""
+    t = F.upper(F.regexp_replace(c, r"^\s+|\s+$", ""))
+    return F.when(~t.isin(*MISSING), t)
+
+
+def plain_pin(c: Column) -> Column:
+    """The six digits of a PIN written with spaces, dashes, a leading PIN or a trailing .0; else null."""
+    t = F.regexp_replace(F.regexp_replace(F.upper(c), r"[\s-]", ""), r"^PIN|\.0\z", "")
+    return F.when(t.rlike(r"\A[0-9]{6}\z"), t)
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    """(key_name, key, field_name, value, n) of the values that aren't missing."""
+    value = {"city": F.col("city"), "state": F.col("state"), "pincode": F.coalesce("pin", "pincode")}
+    key = {"pincode": F.col("pin"), "post_office": F.col("post_office")}
+    cells = [F.struct(F.lit(k).alias("key_name"), key[k].alias("key"), F.lit(f).alias("field_name"), value[f].alias("value")) for k, fields in EDGES.items() for f in fields]
+    out = rows.select(F.explode(F.array(*cells)).alias("x")).select("x.*").where("key IS NOT NULL AND value IS NOT NULL")
+    return out.groupBy("key_name", "key", "field_name", "value").agg(F.count("*").alias("n"))
+
+
+def _stronger(counts: DataFrame) -> dict[str, list[str]]:
+    """The keys of each field, the one with the greater mutual information first."""
+    edge = ["key_name", "field_name"]
+    h = {}  # sum of n log n over the pairs, the keys and the values, and the number of rows
+    for at, more in (("xy", ["key", "value"]), ("x", ["key"]), ("y", ["value"])):
+        g = counts.groupBy(*edge, *more).agg(F.sum("n").alias("n")).groupBy(*edge).agg(F.sum(F.col("n") * F.log("n")).alias("h"), F.sum("n").alias("n"))
+        for r in g.collect():
+            h[at, r.key_name, r.field_name] = r.h, r.n
+    mi = {}
+    for k, fields in EDGES.items():
+        for f in fields:
+            if ("xy", k, f) in h:
+                n = h["xy", k, f][1]
+                mi[k, f] = (h["xy", k, f][0] - h["x", k, f][0] - h["y", k, f][0]) / n + math.log(n)
+    return {f: sorted((k for k in EDGES if f in EDGES[k]), key=lambda k: (-mi.get((k, f), 0.0), k)) for f in ("city", "state", "pincode")}
+
+
+def p2_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every missing cell with the value that fills it and the key it came over; both null where the gap stays."""
+    own = spread(table(spark, sf_dir, "cleaned_address_data").select("row_id", "city", "state", "pincode", "post_office"))
+    rows = own.select("row_id", *[typed(F.col(c)).alias(c) for c in ("city", "state", "pincode", "post_office")], plain_pin(F.col("pincode")).alias("pin"))
+    counts = shared(_counts(rows), "p2-counts")
+    order = _stronger(counts)
+    wellformed = (F.col("field_name") == "pincode") & F.col("value").rlike(r"\A[1-9][0-9]{5}\z")
+    best = counts.groupBy("key_name", "key", "field_name").agg(F.max_by("value", F.struct(wellformed, "n", "value")).alias("best"))
+    gaps = rows.where("city IS NULL OR state IS NULL OR pincode IS NULL")
+    for k, key in (("pincode", "pin"), ("post_office", "post_office")):
+        of = best.where(F.col("key_name") == k).groupBy("key").agg(*[F.max(F.when(F.col("field_name") == f, F.col("best"))).alias(f"{k}_{f}") for f in EDGES[k]])
+        gaps = gaps.join(small(of.withColumnRenamed("key", key)), key, "left")
+    cells = []
+    for f, keys in order.items():
+        value = F.coalesce(*[F.col(f"{k}_{f}") for k in keys])
+        over = F.coalesce(*[F.when(F.col(f"{k}_{f}").isNotNull(), F.lit(k)) for k in keys])
+        cells.append(F.when(F.col(f).isNull(), F.struct(F.lit(f).alias("field_name"), value.alias("value"), over.alias("filled_over"))))
+    return gaps.select("row_id", F.explode(F.array_compact(F.array(*cells))).alias("x")).select("row_id", "x.*")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The missing cells for which the row's keys offer a value."""
+    return p2_filled(spark, sf_dir).where("value IS NOT NULL").select("row_id", "field_name")

@@ -1,0 +1,199 @@
+"""Changes of the fields between the files of a feed, from a catalogue of the columns of each file.
+
+1. The payloads are parsed once where they lie. Of each field of a file come the numbers of its values by JSON type, and a 32-bit
+   hash of every value in the order of the lines: words in capitals or not, in a text, list or object, give the same hash.
+2. The files of a feed meet in one task, in order of `file_date`. A column that ends and one that begins between two files are the
+   same one if the loans of both files carry the same hashes under both names. The loan field itself is that of lender_configs,
+   or after a renaming the one that holds the feed's loans.
+
+One shuffle, of the hashes. A task holds the hashes of one feed (4 bytes a value).
+"""
+
+from __future__ import annotations
+
+import json
+import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from zlib import crc32
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..plans.tables import spread, table
+
+#: Share of the common loans that carry the same value under both names of a renamed field, and that share for fields of few
+#: different values, which agree by chance.
+SAME, SAME_FEW, FEW = 0.7, 0.95, 4
+CELLS = "feed_id bigint, file_id bigint, lender string, file_date timestamp, chunk bigint, field string, kinds array<int>, hashes binary"
+CHANGES = "file_id bigint, change_kind string, field_name string, prev_name string"
+KINDS = ("text", "number", "boolean", "list", "object")
+_WORD = re.compile(r"\w+")
+
+
+def kind_of(v: object) -> int:
+    """Place of the value's JSON type in KINDS; -1 for null."""
+    if v is None:
+        return -1
+    if isinstance(v, str):
+        return 0
+    if isinstance(v, bool):
+        return 2
+    return 1 if isinstance(v, (int, float)) else 3 if isinstance(v, list) else 4
+
+
+def _leaves(v: object) -> str:
+    if isinstance(v, dict):
+        return " ".join(_leaves(x) for x in v.values())
+    if isinstance(v, list):
+        return " ".join(_leaves(x) for x in v)
+    if isinstance(v, float) and v.is_integer():
+        v = int(v)
+    return "" if v is None else str(v)
+
+
+def hashed(v: object) -> int:
+    """Hash of a value's words whatever their order and the type that holds them; 0 for null."""
+    if v is None:
+        return 0
+    text = v if isinstance(v, str) else _leaves(v)
+    return crc32(" ".join(sorted(_WORD.findall(text.lower()))).encode("utf-8", "surrogatepass")) or 1
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each field of each file in a batch; `chunk` tells the batches apart."""
+    types = [pa.int64(), pa.int64(), pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.binary()]
+    names = [x.split()[0] for x in CELLS.split(", ")]
+    for b in batches:
+        files: dict[int, list[int]] = defaultdict(list)
+        feed, file, lender, date, line, payload = [b.column(i).to_pylist() for i in range(6)]
+        for i, f in enumerate(file):
+            files[f].append(i)
+        rows = []
+        for f, at in files.items():
+            kinds: dict[str, list[int]] = defaultdict(lambda: [0] * len(KINDS))
+            hashes: dict[str, np.ndarray] = {}
+            for k, i in enumerate(at):
+                try:
+                    record = json.loads(payload[i] or "null")
+                except ValueError:
+                    continue
+                if not isinstance(record, dict):
+                    continue
+                for name, v in record.items():
+                    if name not in hashes:
+                        hashes[name] = np.zeros(len(at), np.uint32)
+                    count, kind = kinds[name], kind_of(v)
+                    if kind >= 0:
+                        count[kind] += 1
+                        hashes[name][k] = hashed(v)
+            first = min((date[i] for i in at if date[i] is not None), default=None)
+            chunk = min(line[i] for i in at)  # lines are unique within a file
+            rows += [(feed[at[0]], f, lender[at[0]], first, chunk, name, kinds[name], h.tobytes()) for name, h in hashes.items()]
+            if not hashes:  # a file of records without fields is still a file
+                rows.append((feed[at[0]], f, lender[at[0]], first, chunk, None, [0] * len(KINDS), b""))
+        cols = list(zip(*rows)) or [()] * len(types)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+
+
+class File:
+    """The columns of one file: type counts, and hashes line by line."""
+
+    def __init__(self, lines: dict[int, int], cells: list[tuple[int, str, list[int], bytes]]):
+        begin, n = {}, 0
+        for chunk in sorted(lines):
+            begin[chunk] = n
+            n += lines[chunk]
+        self.kinds: dict[str, np.ndarray] = {}
+        self.hashes: dict[str, np.ndarray] = {}
+        for chunk, name, kinds, h in cells:
+            if name not in self.kinds:
+                self.kinds[name], self.hashes[name] = np.zeros(len(KINDS), np.int64), np.zeros(n, np.uint32)
+            self.kinds[name] += np.array(kinds)
+            self.hashes[name][begin[chunk] : begin[chunk] + lines[chunk]] = np.frombuffer(h, np.uint32)
+
+    def kind(self, name: str) -> int:
+        """The type of most of a column's values; -1 if all are null."""
+        k = self.kinds[name]
+        return int(k.argmax()) if k.any() else -1
+
+    def by_loan(self, loan: str | None, name: str) -> dict[int, set[int]]:
+        """Hashes of a column that aren't null, by loan."""
+        out: dict[int, set[int]] = defaultdict(set)
+        if loan is not None:
+            for a, v in zip(self.hashes[loan].tolist(), self.hashes[name].tolist()):
+                if a and v:
+                    out[a].add(v)
+        return out
+
+
+def renamings(prev: File, cur: File, loans: tuple[str | None, str | None], gone: list[str], new: list[str]) -> dict[str, str]:
+    """New name to old name of the columns that carry the same data of the same loans, the surest first."""
+    before = {g: prev.by_loan(loans[0], g) for g in gone}
+    after = {a: cur.by_loan(loans[1], a) for a in new}
+    pairs = []
+    for g, x in before.items():
+        for a, y in after.items():
+            both = x.keys() & y.keys()
+            same = sum(not x[k].isdisjoint(y[k]) for k in both)
+            few = len({v for k in both for v in x[k]}) <= min(FEW, len(both) // 2)
+            if same and same >= (SAME_FEW if few else SAME) * len(both):
+                pairs.append((-same / len(both), -same, g, a))
+    out: dict[str, str] = {}
+    for _, _, g, a in sorted(pairs):
+        if a not in out and g not in out.values():
+            out[a] = g
+    return out
+
+
+def feed_changes(files: list[tuple[int, File]], lan_cols: list[str]) -> list[tuple[int, str, str, str]]:
+    """Changes of each file, in order, against the one before it."""
+    known = [x for _, f in files for c in lan_cols if c in f.hashes for x in np.unique(f.hashes[c]).tolist() if x]
+    feed_loans = np.array(sorted(set(known)), np.uint32)
+
+    def loan_of(f: File) -> str | None:
+        for c in lan_cols:
+            if c in f.hashes:
+                return c
+        held = Counter({name: int(np.isin(h, feed_loans).sum()) for name, h in sorted(f.hashes.items())})
+        return next((name for name, n in held.most_common(1) if n), None)
+
+    out = []
+    for (_, p), (file_id, c) in zip(files, files[1:]):
+        gone, new = sorted(p.kinds.keys() - c.kinds.keys()), sorted(c.kinds.keys() - p.kinds.keys())
+        renamed = renamings(p, c, (loan_of(p), loan_of(c)), gone, new) if gone and new else {}
+        out += [(file_id, "renamed", a, g) for a, g in renamed.items()]
+        out += [(file_id, "added", a, "") for a in new if a not in renamed]
+        out += [(file_id, "removed", g, "") for g in gone if g not in renamed.values()]
+        for name in c.kinds:
+            old = renamed.get(name, name)
+            if old in p.kinds and -1 not in (p.kind(old), c.kind(name)) and p.kind(old) != c.kind(name):
+                out.append((file_id, "retyped", name, ""))
+    return out
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Added, removed, renamed and retyped fields of each file against the file before it in its feed."""
+    lan_cols = {r.lender: list(r.lan_cols or []) for r in table(spark, sf_dir, "lender_configs").select("lender", "lan_cols").collect()}
+    raw = spread(table(spark, sf_dir, "raw_lender_records").select("feed_id", "file_id", "lender", "file_date", "line_no", "payload"))
+    cells = raw.select("feed_id", "file_id", "lender", F.col("file_date").cast("timestamp").alias("file_date"), "line_no", "payload").mapInArrow(_cells, CELLS)
+
+    def run(group: pa.Table) -> pa.Table:
+        rows: dict[int, list] = defaultdict(list)
+        lines: dict[int, dict[int, int]] = defaultdict(dict)
+        dates: dict[int, list] = defaultdict(list)
+        lender = None
+        for _, file, who, date, chunk, field, kinds, h in zip(*[group.column(i).to_pylist() for i in range(8)]):
+            lender = lender or who
+            dates[file].append(date)
+            if field is not None:
+                rows[file].append((chunk, field, kinds, h))
+                lines[file][chunk] = len(h) // 4
+        first = {f: min((x for x in d if x is not None), default=None) for f, d in dates.items()}
+        order = sorted(dates, key=lambda f: (first[f] is None, first[f] and first[f].timestamp(), f))
+        cols = list(zip(*feed_changes([(f, File(lines[f], rows[f])) for f in order], lan_cols.get(lender, [])))) or [()] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(cols, [pa.int64()] + [pa.string()] * 3)], names=[x.split()[0] for x in CHANGES.split(", ")])
+
+    return cells.groupBy("feed_id").applyInArrow(run, CHANGES)

@@ -1,0 +1,64 @@
+"""Loads whose columns stand out: one pass of counts per load, each load against the sum of the others.
+
+Every load and column has the number of its cells, of the missing and of the invalid ones, and of the valid ones by bucket. Only
+these few numbers are compared, so the plan shuffles one partly aggregated row per load, column and bucket.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..plans.tables import spread, table
+from .gapfill import typed
+
+CLASSES = ("EXCELLENT", "GOOD", "USABLE", "REQUIRES_CALL", "INVALID")
+HIGHER = 0.10
+DRIFT = 0.25
+_ROUNDING = 1e-12
+
+
+def _cells(rows: DataFrame, column: str, missing: Column, bucket: Column) -> DataFrame:
+    """(load_no, column_name, bucket, n): bucket is 'missing', 'invalid' or that of a valid value."""
+    kind = F.when(missing, "missing").otherwise(F.coalesce(bucket, F.lit("invalid")))
+    return rows.groupBy(F.col("load_no").cast("long").alias("load_no"), F.lit(column).alias("column_name"), kind.alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of cells by load, column and bucket; valid buckets begin with '='."""
+    a = spread(table(spark, sf_dir, "cleaned_address_data").select("load_no", "pincode"))
+    q = spread(table(spark, sf_dir, "quality_outputs").select("load_no", "quality_class", "raw_quality_score"))
+    pin, grade, score = F.col("pincode"), F.col("quality_class"), F.col("raw_quality_score")
+    by_pin = F.when(pin.rlike(r"\A[1-9][0-9]{5}\z"), F.concat(F.lit("="), F.substring(pin, 1, 1)))
+    by_grade = F.when(grade.isin(*CLASSES), F.concat(F.lit("="), grade))
+    by_score = F.when((score >= 0) & (score <= 100), F.when(score < 40, "=0").when(score < 60, "=40").when(score < 75, "=60").when(score < 90, "=75").otherwise("=90"))
+    parts = _cells(a, "pincode", typed(pin).isNull(), by_pin)
+    parts = parts.unionAll(_cells(q, "quality_class", typed(grade).isNull(), by_grade))
+    return parts.unionAll(_cells(q, "raw_quality_score", score.isNull() | F.isnan(score), by_score))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads that stand out from all others of their table pooled, with the column and the finding."""
+    of = Window.partitionBy("column_name")
+    profile = p5_profile(spark, sf_dir)
+    n = F.col("n")
+    load = profile.groupBy("column_name", "load_no").agg(F.sum(n).alias("cells"), F.sum(F.when(F.col("bucket") == "missing", n).otherwise(0)).alias("missing"), F.sum(F.when(F.col("bucket") == "invalid", n).otherwise(0)).alias("invalid"), F.map_from_entries(F.collect_list(F.when(F.col("bucket").startswith("="), F.struct("bucket", "n")))).alias("own"))
+    pooled = profile.where(F.col("bucket").startswith("=")).groupBy("column_name", "bucket").agg(F.sum(n).alias("n")).groupBy("column_name").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("all"))
+    x = load.join(pooled, "column_name", "left")
+    for c in ("cells", "missing", "invalid"):
+        x = x.withColumn(f"other_{c}", F.sum(c).over(of) - F.col(c))
+    share = lambda c, whole: F.try_divide(F.col(c), whole)
+    there, elsewhere = F.col("cells") - F.col("missing"), F.col("other_cells") - F.col("other_missing")
+    valid, others = there - F.col("invalid"), elsewhere - F.col("other_invalid")
+
+    def apart(b: Column) -> Column:
+        mine = F.coalesce(F.element_at("own", b), F.lit(0))
+        return F.abs(mine / valid - (F.element_at("all", b) - mine) / others)
+
+    drift = F.when((valid > 0) & (others > 0), F.aggregate(F.map_keys("all"), F.lit(0.0), lambda s, b: s + apart(b)) / 2)
+    finding = F.array_compact(F.array(
+        F.when(share("missing", F.col("cells")) - share("other_missing", F.col("other_cells")) >= HIGHER - _ROUNDING, "missing"),
+        F.when(share("invalid", there) - share("other_invalid", elsewhere) >= HIGHER - _ROUNDING, "invalid"),
+        F.when(drift >= DRIFT - _ROUNDING, "drift"),
+    ))
+    return x.where("load_no IS NOT NULL").select("load_no", "column_name", F.explode(finding).alias("finding"))
