@@ -5,7 +5,7 @@
    is passed over, which loses no occurrence.
 2. Each shard's runs become one integer text. Its suffix array (prefix doubling) gives the Burrows-Wheeler transform; a wavelet
    matrix answers how often a word occurs before a row. All phrases of `SEED` words of all items are searched at once, last word
-   first, and located by stepping back to suffix positions sampled every `SAMPLE` words.
+   first, and located by stepping back to suffix positions sampled every `SAMPLE` words and at the begin of each run.
 3. The phrases found in a document are chained per item and aligned with it, allowing changed, added and dropped words. A stretch
    of `WORDS` item words or more is a leak; overlapping stretches are merged into removal spans.
 
@@ -130,7 +130,7 @@ class FMIndex:
         self.ranks = WaveletMatrix(bwt, sigma)
         self.before = np.zeros(sigma + 1, np.int64)
         np.cumsum(np.bincount(seq, minlength=sigma), out=self.before[1:])
-        self.kept = sa % SAMPLE == 0
+        self.kept = (sa % SAMPLE == 0) | (bwt == 0)
         self.place = np.cumsum(self.kept) - 1
         self.samples = sa[self.kept]
 
@@ -144,8 +144,8 @@ class FMIndex:
         return lo, np.maximum(lo, hi)
 
     def locate(self, rows: np.ndarray) -> np.ndarray:
-        """Positions of the suffixes in `rows`: steps back word by word to a sampled position. Rows must not reach a run's begin
-        within fewer steps than to a sample; those that do are found by the sample of the run's end before it."""
+        """Positions of the suffixes in `rows`: steps back word by word to a sampled position. The first position of every run is
+        one, so no step crosses the 0 of the run before, whose row isn't in the order of what follows it."""
         out = np.full(len(rows), -1, np.int64)
         open_, at, steps = np.arange(len(rows)), rows.copy(), 0
         while len(open_):
