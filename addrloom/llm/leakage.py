@@ -22,7 +22,8 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ..functions.charforms import fold
 from ..plans.tables import spread, table
@@ -38,7 +39,11 @@ GAP = 4
 ITEM_BYTES = 8_000_000
 
 _BREAK = re.compile(r"(?<=\w)[-‐]\s*\n\s*(?=[a-z])")
-_TAG = re.compile(r"</?[a-zA-Z][^<>\n]{0,200}>|&(?:nbsp|amp|lt|gt|quot|#\d+);")
+#: Anything short in angle brackets within a line; across lines or beyond that length only what is built like a tag.
+_TAG = re.compile(
+    r"</?[a-zA-Z][^<>\n]{0,200}>|&(?:nbsp|amp|lt|gt|quot|#\d+);"
+    r"""|</?[a-zA-Z][\w:-]*(?:\s+[\w:@.-]+\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>=]+))*\s*/?>"""
+)
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -313,8 +318,8 @@ def leaks(documents: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, LEAKS)
 
 
-def p9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every leaked stretch with its place in the document."""
+def _stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every leaked stretch of an item with its place in the document, overlapping ones apart."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     out, block, size = None, [], 0
     for r in table(spark, sf_dir, "evaluation_items").select("item_id", "text").toLocalIterator():
@@ -327,6 +332,27 @@ def p9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.unionAll(part) if out else part
 
 
+def merged(stretches: DataFrame) -> DataFrame:
+    """Overlapping stretches of a document, of whatever items, with the place of the whole removal span: words first_word to before last_word."""
+    by_place = Window.partitionBy("doc_id").orderBy("first_word", "last_word")
+    reach = F.max("last_word").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("first_word") < reach, 0).otherwise(1)
+    spans = stretches.withColumn("begins", begins).withColumn("span", F.sum("begins").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
+    of = Window.partitionBy("doc_id", "span")
+    spans = spans.withColumns({"first_word": F.min("first_word").over(of), "last_word": F.max("last_word").over(of)})
+    return spans.groupBy("doc_id", "item_id", "first_word", "last_word").agg(F.max("item_words").alias("item_words"), F.max("found_words").alias("found_words"))
+
+
+def p9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The removal spans by item: the items of one span share its place, and each has the words of its longest stretch there."""
+    return merged(_stretches(spark, sf_dir)).select("doc_id", "item_id", "item_words", "found_words", "first_word", "last_word")
+
+
+def p9_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The removal spans of each document, no two of which overlap, with the items in them."""
+    return p9_spans(spark, sf_dir).groupBy("doc_id", "first_word", "last_word").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items that each document contains."""
-    return p9_spans(spark, sf_dir).select("doc_id", "item_id").distinct()
+    return _stretches(spark, sf_dir).select("doc_id", "item_id").distinct()
