@@ -1,17 +1,18 @@
 """Several values packed in one field: a parsing expression grammar that cuts a field into its values.
 
-    field     <- labelled / numbered / lettered / quoted / delimited(d1) / delimited(d2) / ... / bare
+    field     <- labelled / numbered / lettered / quoted / bracketed / delimited(d1) / delimited(d2) / ... / bare
     labelled  <- lead (LABEL ':' body)+          LABEL: a capital word with an optional number (ADD1, PERM, OFF)
     numbered  <- (N ')' body)+                   N counts up from 1
     lettered  <- ('(' L ')' body)+               L counts up from a
     quoted    <- q body q (sep q body q)*        q: " or ', a doubled quote stands for itself
+    bracketed <- b body b' (sep b body b')*      b b': (), [] or {}, which may nest
     delimited <- body (d body)+                  d: line break, ##, //, ;;, |, OTHER ADD-, OR, AND ALSO, ;, /, comma
     bare      <- .+                              cut where a new value must begin, else one value
 
 Alternatives are ordered. One is taken only if the *acceptance* predicate holds for what it yields (for addresses: at least two
 complete ones, pieces that are only parts of a value being joined to their neighbours); otherwise the parser backtracks to the
-next. Values are parsed again by the same grammar, so delimiters may be mixed. A quote that never closes makes `quoted` fail;
-the text is then read as bare and flagged.
+next. Values are parsed again by the same grammar, so delimiters may be mixed. A quote or bracket that never closes makes
+`quoted` or `bracketed` fail; the text is then read by the later alternatives and flagged.
 """
 
 from __future__ import annotations
@@ -87,6 +88,40 @@ def _quoted(t: str, at: Span) -> list[Span] | None:
             return None
 
 
+BRACKETS = {"(": ")", "[": "]", "{": "}"}
+
+
+def _bracketed(t: str, at: Span) -> list[Span] | None:
+    """[ body ] [ body ] (sep [ body ])* in one kind of bracket, which may nest; None if one stays open or something else stands between."""
+    i, end = at
+    while i < end and t[i].isspace():
+        i += 1
+    if i >= end or t[i] not in BRACKETS:
+        return None
+    left, right, out = t[i], BRACKETS[t[i]], []
+    while True:
+        depth, j = 1, i + 1
+        while j < end and depth:
+            depth += (t[j] == left) - (t[j] == right)
+            j += 1
+        if depth:
+            return None
+        out.append((i + 1, j - 1))
+        i = j
+        while i < end and t[i] in " \t\r\n,;|/":
+            i += 1
+        if i >= end:
+            return out if len(out) > 1 else None
+        if t[i] != left:
+            return None
+
+
+def _open_bracket(t: str, at: Span) -> bool:
+    """Whether the span begins with a bracket and one of its kind is never closed."""
+    s = t[at[0] : at[1]].lstrip()
+    return s[:1] in BRACKETS and s.count(s[0]) > s.count(BRACKETS[s[0]]) if s else False
+
+
 def _delimited(d: re.Pattern) -> Callable:
     def rule(t: str, at: Span) -> list[Span] | None:
         m = [x.span() for x in d.finditer(t, *at)]
@@ -100,6 +135,7 @@ RULES: tuple[tuple[str, Callable], ...] = (
     ("numbered", _counted(_NUMBER, lambda m: int(m[1] or m[2]))),
     ("lettered", _counted(_LETTER, lambda m: ord(m[1].lower()) - 96)),
     ("quoted", _quoted),
+    ("bracketed", _bracketed),
     *((f"delimited{k}", _delimited(d)) for k, d in enumerate(DELIMITERS)),
 )
 
@@ -166,6 +202,8 @@ def _parse(t: str, at: Span, parts: Parts, flags: set[str]) -> list[Span]:
         if spans is None:
             if name == "quoted" and t[at[0] : at[1]].lstrip()[:1] in "\"'":
                 flags.add("malformed_quote")
+            elif name == "bracketed" and _open_bracket(t, at):
+                flags.add("unclosed_bracket")
             continue
         good = _join(parts, [x for x in spans if t[x[0] : x[1]].strip(_TRIM)])
         if sum(parts.complete(x) >= 1 for x in good) == len(good) > 1:
@@ -181,7 +219,7 @@ def split_field(text: str | None) -> list[tuple[int, str, str]]:
     """(position from 1, value, flags) of each value in a field of addresses.
 
     A null, empty or blank field has no value, nor have the left-overs of joined empty columns (nan, NULL, 0, 0.0); a field with one address (or none that is complete) is one value. Flags, comma
-    separated: malformed_quote, empty_value (two delimiters in a row), no_delimiter."""
+    separated: malformed_quote, unclosed_bracket, empty_value (two delimiters in a row), no_delimiter."""
     if text is None or not (text := _LEFT_OVER.sub("", text)).strip(_TRIM):
         return []
     t = prepared(text)
