@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.tables import spread, table
+from . import gapfill, lifespan, profile
 from .multivalue import split_values
 
 
@@ -28,5 +29,9 @@ def p4_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_values(_packed(spark, sf_dir), "text", ["table_name", "rec_id"])
 
 
+MODULES = (gapfill, profile, lifespan)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p4_found": p4_found, "p4_values": p4_values}
 SQL: dict[str, str] = {}
+for _m in MODULES:
+    QUERIES |= _m.QUERIES
+    SQL |= _m.SQL

@@ -2,6 +2,7 @@ import json
 from datetime import datetime
 
 import __spark_entry__
+from addrloom.operators import gapfill, profile
 
 
 def rows(spark, name, folder):
@@ -45,8 +46,57 @@ def test_p7_tells_renamed_from_removed_and_added(spark, tmp_path):
     }
     data = [(f, i, 1, "X", datetime(2024, m, 1), json.dumps(make(i))) for m, (f, make) in enumerate(files.items(), 1) for i in range(1, 11)]
     spark.createDataFrame(data, "file_id long, line_no long, feed_id long, lender string, file_date timestamp, payload string").write.parquet(f"{tmp_path}/raw_lender_records.parquet")
-    spark.createDataFrame([("X", ["Id"])], "lender string, lan_cols array<string>").write.parquet(f"{tmp_path}/lender_configs.parquet")
+    spark.createDataFrame([("X", ["Id"], ["Addr"])], "lender string, lan_cols array<string>, current_cols array<string>").write.parquet(f"{tmp_path}/lender_configs.parquet")
     assert rows(spark, "p7_found", tmp_path) == [
         (2, "added", "Zone", ""), (2, "removed", "Flag", ""), (2, "renamed", "ID", "Id"), (2, "renamed", "old", "Old"), (2, "retyped", "Addr", ""),
         (5, "added", "Rare", ""), (5, "removed", "Zone", ""),
     ]
+
+
+def test_p7_names_types_and_rows_are_one_table(spark, tmp_path):
+    data = [(1, 1, 1, "X", datetime(2024, 1, 1), '{"Id":"L1","Addr":"MG ROAD 3","Emi":5}'), (1, 2, 1, "X", datetime(2024, 1, 1), "broken"), (1, 3, 1, "X", datetime(2024, 1, 1), None)]
+    data += [(2, 1, 1, "X", datetime(2024, 2, 1), '{"ID":"L1","Home":["MG ROAD",3],"Emi":null}'), (3, 1, None, None, None, "{}")]
+    spark.createDataFrame(data, "file_id long, line_no long, feed_id long, lender string, file_date timestamp, payload string").write.parquet(f"{tmp_path}/raw_lender_records.parquet")
+    spark.createDataFrame([("X", ["Id"], ["Addr"])], "lender string, lan_cols array<string>, current_cols array<string>").write.parquet(f"{tmp_path}/lender_configs.parquet")
+    assert rows(spark, "p7_found", tmp_path) == [(2, "renamed", "Home", "Addr"), (2, "renamed", "ID", "Id"), (2, "retyped", "Home", "")]
+    got = {(r.file_id, r.line_no): (r.lan, r.current_address) for r in __spark_entry__.queries()["p7_records"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 1): ("L1", "MG ROAD 3"), (1, 2): (None, None), (1, 3): (None, None), (2, 1): ("L1", "MG ROAD 3"), (3, 1): (None, None)}
+    spans = {(r.field, r.kind, r.first_file_no, r.last_file_no) for r in __spark_entry__.queries()["p7_lifespans"](spark, str(tmp_path)).collect()}
+    assert ("Addr", "text", 1, 1) in spans and ("Home", "list", 2, 2) in spans
+
+
+def test_tree_passes_messages_over_a_hidden_field_and_bins_numbers(spark):
+    # key k fixes m, m fixes t; k and t never meet in a row, so only the way over m can fill t
+    data = [(i, f"K{i % 3}", f"M{i % 3}", None, float(i % 3 * 100 + 1)) for i in range(30)]
+    data += [(100 + i, None, f"M{i % 3}", f"T{i % 3}", None) for i in range(30)]
+    df = spark.createDataFrame(data, "id long, k string, m string, t string, x double")
+    fields = ["k", "m", "t"]
+    pairs = gapfill.pair_counts(df.select("id", *fields), fields, "t-pairs")
+    mi, totals = gapfill.information(pairs)
+    edges = gapfill.spanning_tree(fields, mi)
+    assert set(edges) == {("k", "m"), ("m", "t")}
+    evidence = spark.createDataFrame([("e", "K1")], "eid string, k string")
+    best = gapfill.Tree(pairs, edges, evidence, ["k"], totals).belief("t").orderBy("w", ascending=False).first()
+    assert (best.v, round(best.w, 3)) == ("T1", 1.0)
+    out = {(r.id, r.field_name): r.value for r in gapfill.impute(df, "id", ["k", "m"], ["x"], ["m"]).collect()}
+    assert out[101, "x"] == "101.0" and out[101, "k"] == "K1"
+
+
+def test_p2_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "row_id long, city string, state string, pincode string, post_office string").write.parquet(f"{tmp_path}/cleaned_address_data.parquet")
+    assert rows(spark, "p2_found", tmp_path) == []
+
+
+def test_expressions_are_the_shorter_description(spark):
+    good = [("c", f"{100000 + 7 * i}", 1) for i in range(200)]
+    odd = [("c", "12-34", 1), ("c", "x", 2), ("d", "GOOD", 90), ("d", "BAD", 80), ("d", "NEVER SEEN", 1), ("d", None, 4)]
+    got = {(r.column_name, r.value): (r.expression, r.listed) for r in profile.expressions(spark.createDataFrame(good + odd, "column_name string, value string, n long")).collect()}
+    assert got["c", "100007"] == ("999999", False) and got["c", "12-34"] == ("=12-34", True)
+    assert got["d", "GOOD"] == ("=GOOD", True) and ("d", None) not in got
+
+
+def test_profile_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "load_no int, pincode string").write.parquet(f"{tmp_path}/cleaned_address_data.parquet")
+    spark.createDataFrame([], "load_no int, quality_class string, raw_quality_score double").write.parquet(f"{tmp_path}/quality_outputs.parquet")
+    for name in ("p5_found", "p5_profile", "p5_coverage", "p5_expressions"):
+        assert rows(spark, name, tmp_path) == []
