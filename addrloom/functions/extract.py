@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import PLACEHOLDERS, STATES_IN_TEXT, WS, clean_text, collapsed, for_matching, for_resolving, last_pin, text, validator_state
+from .text import PLACEHOLDERS, STATES_IN_TEXT, WS, clean_text, collapsed, entity, for_matching, last_pin, resolver_state, text
 
 #: Edges of a word in any script, spelt out because the dialects of \\b differ.
 EDGE, END = r"(?:^|[^\p{L}\p{N}_])", r"(?:$|[^\p{L}\p{N}_])"
@@ -92,8 +92,8 @@ def may_be_city(c: Column, state: Column, pin: Column) -> Column:
 
 def may_be_place(c: Column, city: Column, state: Column) -> Column:
     """Whether a segment may name a village or office: up to 80 letters, no PIN, neither the row's state nor its city."""
-    t = for_resolving(c)
-    return (t != "") & (F.length(t) <= 80) & ~t.rlike(r"\A[0-9]{6}\z") & (t != validator_state(state)) & ~((for_resolving(city) != "") & (t == for_resolving(city)))
+    t = entity(c)
+    return (t != "") & (F.length(t) <= 80) & ~t.rlike(r"\A[0-9]{6}\z") & (t != resolver_state(state)) & ~((text(city) != "") & (t == entity(city)))
 
 
 def state_in_text(c: Column) -> Column:

@@ -160,7 +160,7 @@ def _sql() -> dict[str, str]:
     short = "list_aggregate(list_transform(string_split(upper(state), ' '), lambda w: left(w, 1)), 'string_agg', '')"
     states = {"cleaner": (s_matching, t.CLEANER_STATES), "validator": (s_checking, t.VALIDATOR_STATES), "resolver": (s_resolving, t.FORMER_NAMES | t.VALIDATOR_STATES)}
     state_cols = ", ".join(f"{s_mapped(f(st), m)} AS {k}, {s_mapped(f('short'), m)} AS {k}_short" for k, (f, m) in states.items())
-    place = f"(m <> '' AND length(m) <= 80 AND NOT regexp_full_match(m, '[0-9]{{6}}') AND m <> {s_mapped(s_checking(st), t.VALIDATOR_STATES)} AND NOT ({s_resolving(ci)} <> '' AND m = {s_resolving(ci)}))"
+    place = f"(m <> '' AND length(m) <= 80 AND NOT regexp_full_match(m, '[0-9]{{6}}') AND m <> {s_mapped(s_resolving(st), t.FORMER_NAMES | t.VALIDATOR_STATES)} AND NOT ({s_text(ci)} <> '' AND m = {s_entity(ci)}))"
     premise = " OR ".join(s_has("u", y) for y in x.PREMISE)
     words = ", ".join(f"{s_has('u', x.word_pattern(k))} AS {k}" for k in x.WORDS)
     kind = rf"CASE WHEN {s_has('s', f'(?i){x.EDGE}(?:{x.RURAL}){x.END}')} THEN 'RURAL' WHEN {s_has('s', f'(?i){x.EDGE}(?:{x.URBAN}){x.END}')} THEN 'URBAN' ELSE 'UNKNOWN' END"
@@ -172,7 +172,7 @@ def _sql() -> dict[str, str]:
         "op_pin_forms": f"SELECT row_id, {s_last_pin(p)} AS cleaner, {s_six(s_text(p))} AS validator, {s_six(s_no_decimal(p))} AS resolver, {s_digits(s_no_decimal(p))} AS master, {s_last_pin(s_clean(a))} AS in_address FROM {c}",
         "op_predicates": f"SELECT row_id, {s_matching(ci)} <> '' AND NOT {s_in(s_matching(ci), t.PLACEHOLDERS)} AS city_ok, {s_checking(ci)} <> '' AND NOT {s_in(s_checking(ci), t.GARBAGE)} AS city_text_ok, {s_matching(a)} <> '' AND NOT {s_in(s_matching(a), t.PLACEHOLDERS)} AS address_ok, {s_checking(a)} <> '' AND NOT {s_in(s_checking(a), t.GARBAGE)} AS address_text_ok, {pattern} AS city_pattern FROM {c}",
         "op_labels": f"SELECT row_id, {', '.join(f'{s_labelled(a, k)} AS {k}' for k in x.LABELLED)} FROM {c}",
-        "op_segments": f"WITH g AS (SELECT row_id, city, state, pincode, list_filter(list_transform(string_split(replace({s_collapsed(a)}, ';', ','), ','), lambda z: trim(z)), lambda z: z <> '') AS l FROM {c}), e AS (SELECT row_id, city, state, pincode, unnest(range(len(l))) AS pos, unnest(l) AS segment FROM g), f AS (SELECT *, {s_resolving('segment')} AS m, {s_mapped(s_matching(st), t.CLEANER_STATES)} AS cs, {s_last_pin(p)} AS cp FROM e) SELECT row_id, CAST(pos AS INTEGER) AS pos, segment, {place} AS place, {s_city('segment', 'cs', 'cp')} AS city FROM f",
+        "op_segments": f"WITH g AS (SELECT row_id, city, state, pincode, list_filter(list_transform(string_split(replace({s_collapsed(a)}, ';', ','), ','), lambda z: trim(z)), lambda z: z <> '') AS l FROM {c}), e AS (SELECT row_id, city, state, pincode, unnest(range(len(l))) AS pos, unnest(l) AS segment FROM g), f AS (SELECT *, {s_entity('segment')} AS m, {s_mapped(s_matching(st), t.CLEANER_STATES)} AS cs, {s_last_pin(p)} AS cp FROM e) SELECT row_id, CAST(pos AS INTEGER) AS pos, segment, {place} AS place, {s_city('segment', 'cs', 'cp')} AS city FROM f",
         "op_components": f"SELECT row_id, {premise} AS premise, {words}, {kind} AS address_type FROM (SELECT row_id, upper({s_text(a)}) AS u, {s_text(a)} AS s FROM {c})",
     }
 
