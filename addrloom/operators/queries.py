@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.tables import spread, table
-from . import checks, gapfill, indexes, infer, lifespan, profile, resolve, textqueries
+from . import checks, gapfill, indexes, infer, lifespan, profile, resolve, route, score, textqueries
 from .multivalue import split_values
 
 
@@ -29,7 +29,7 @@ def p4_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_values(_packed(spark, sf_dir), "text", ["table_name", "rec_id"])
 
 
-MODULES = (gapfill, profile, lifespan, textqueries, indexes, checks, resolve, infer)
+MODULES = (gapfill, profile, lifespan, textqueries, indexes, checks, resolve, infer, route, score)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p4_found": p4_found, "p4_values": p4_values}
 SQL: dict[str, str] = {}
 for _m in MODULES:

@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a lookup table may be broadcast; every operator that uses the hint has a shuffle join beyond it.
+#: Rows and bytes up to which a table may be broadcast; every operator that uses the hint has a shuffle join beyond either.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,17 +28,21 @@ def spread(df: DataFrame, least: int | None = None) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: `spark.checkpoint.dir` of the session; where it is unset (tests), one of our own."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """Folder that all executors share: `spark.checkpoint.dir` of the session. Where it is unset, a local session (tests) gets one of its
+    own; on a cluster that is an error, as a machine's own folder would lose rows."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        known = sc._jsc.sc().getCheckpointDir()
         if known.isDefined():
             root = known.get()
-        else:
+        elif sc.master.startswith("local"):
             import tempfile
 
             root = "file://" + tempfile.mkdtemp(prefix="addrloom-")
-            spark.sparkContext.setCheckpointDir(root)
+            sc.setCheckpointDir(root)
+        else:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
     return root.rstrip("/")
 
 
@@ -49,12 +54,17 @@ def shared(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it has at most `rows` rows, else unchanged (the join then shuffles).
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `rows` rows of at most `size` bytes in all, else unchanged (the join then shuffles).
 
-    Counting stops one row beyond the bound, so the check itself stays small."""
-    n = df.limit(rows + 1).count()
-    return F.broadcast(df) if n <= rows else df
+    Counting stops one row beyond the bound, so the check itself stays small. Texts count by length, lists and structs as JSON."""
+    width = F.lit(0)
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        c = F.col(f"`{f.name}`")
+        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) if kind in ("array", "struct", "map") else F.lit(8))
+    got = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("b")).collect()[0]
+    return F.broadcast(df) if got.n <= rows and got.b <= size else df
 
 
 def tokenizer_path(name: str) -> str:
