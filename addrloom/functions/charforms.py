@@ -9,21 +9,21 @@ from __future__ import annotations
 import re
 import unicodedata
 
-# Capital and small letters of other alphabets whose usual glyph equals a Latin letter's.
+# Capital and small letters of other alphabets whose usual glyph equals a Latin letter's, letter case by letter case (Cyrillic
+# capital Te looks like T, its small letter unlike t).
 LOOKALIKES = {
     # Greek
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
-    "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J", "α": "a", "γ": "y", "ι": "i", "κ": "k", "ν": "v", "ο": "o",
-    "ρ": "p", "υ": "u", "χ": "x", "ϲ": "c", "ϳ": "j", "ω": "w",
+    "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J", "α": "a", "ι": "i", "ν": "v", "ο": "o",
+    "ρ": "p", "υ": "u", "ϲ": "c", "ϳ": "j",
     # Cyrillic
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P",
     "С": "C", "Т": "T", "У": "Y", "Ү": "Y", "Х": "X", "Ԁ": "D", "Ԛ": "Q", "Ԝ": "W", "Ԍ": "G", "Ӏ": "I", "Ѵ": "V",
-    "З": "3", "а": "a", "в": "b", "е": "e", "ѕ": "s", "і": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o",
-    "р": "p", "с": "c", "т": "t", "у": "y", "ү": "y", "х": "x", "ԁ": "d", "ԛ": "q", "ԝ": "w", "һ": "h", "ѵ": "v",
+    "а": "a", "е": "e", "ѕ": "s", "і": "i", "ј": "j", "о": "o",
+    "р": "p", "с": "c", "у": "y", "ү": "y", "х": "x", "ԁ": "d", "ԛ": "q", "ԝ": "w", "һ": "h", "ѵ": "v",
     "ӏ": "l", "ԍ": "g",
     # Armenian
     "Ս": "U", "Տ": "S", "Օ": "O", "Լ": "L", "ա": "w", "հ": "h", "ո": "n", "ս": "u", "օ": "o", "յ": "j", "ց": "g",
-    "զ": "q", "ք": "f",
     # Cherokee
     "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮐ": "G", "Ꮓ": "Z",
     "Ꮖ": "I", "Ꮞ": "4", "Ꮟ": "b", "Ꮢ": "R", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ᏼ": "B",
@@ -62,3 +62,24 @@ def fold(text: str) -> str:
         else:
             out.append(ch)
     return "".join(out)
+
+
+def fold_with_offsets(text: str) -> tuple[str, list[int]]:
+    """`fold(text).upper()` made character by character, and for each of its characters the place in `text` it comes from (with the length
+    of `text` behind the last)."""
+    out: list[str] = []
+    places: list[int] = []
+    for i, source in enumerate(text):
+        for ch in unicodedata.normalize("NFKD", _DROP.sub("", source).translate(_LOOK)):
+            if ch.isascii():
+                new = ch
+            elif unicodedata.combining(ch):
+                new = ch if out and not out[-1].isascii() else ""
+            elif (d := unicodedata.decimal(ch, None)) is not None:
+                new = str(d)
+            else:
+                new = " " if unicodedata.category(ch) == "Zs" else ch
+            for up in new.upper():
+                out.append(up)
+                places.append(i)
+    return "".join(out), [*places, len(text)]

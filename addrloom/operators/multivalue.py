@@ -10,9 +10,10 @@
     bare      <- .+                              cut where a new value must begin, else one value
 
 Alternatives are ordered. One is taken only if the *acceptance* predicate holds for what it yields (for addresses: at least two
-complete ones, pieces that are only parts of a value being joined to their neighbours); otherwise the parser backtracks to the
-next. Values are parsed again by the same grammar, so delimiters may be mixed. A quote or bracket that never closes makes
-`quoted` or `bracketed` fail; the text is then read by the later alternatives and flagged.
+complete ones, pieces that are only parts of a value being joined to their neighbours; for plain values: at least two that aren't
+blank); otherwise the parser backtracks to the next. Addresses are parsed again by the same grammar, so delimiters may be mixed. A
+quote or bracket that never closes makes `quoted` or `bracketed` fail; the text is then read by the later alternatives and flagged.
+Values come as they stand in the source, whatever the folding that the grammar reads; a doubled quote in a quoted value is one.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.addressgrammar import prepared, scan_prepared
+from ..functions.charforms import fold_with_offsets
 
 Span = tuple[int, int]
 #: Delimiters from strong to weak; a weak one may as well separate the parts of one value.
@@ -144,6 +146,7 @@ class Parts:
     """Where the parts of addresses begin in a field: decides which spans are complete values."""
 
     NEED = ("house", "street", "locality")
+    nested = True
 
     def __init__(self, text: str):
         self.found = [x for x in scan_prepared(text) if x[0] in ("house", "street", "locality", "flat")]
@@ -194,55 +197,95 @@ def _bare(parts: Parts, at: Span) -> list[Span]:
     return _join(parts, spans)
 
 
-def _parse(t: str, at: Span, parts: Parts, flags: set[str]) -> list[Span]:
+class Plain:
+    """Acceptance of plain values: a rule is taken if it yields two or more that aren't blank; values aren't cut again."""
+
+    nested = False
+
+    def __init__(self, text: str):
+        self.text = text
+
+    def complete(self, at: Span) -> int:
+        return 2 if self.text[at[0] : at[1]].strip(_TRIM) else 0
+
+
+def _good(parts: Parts | Plain, t: str, spans: list[Span]) -> list[Span]:
+    filled = [x for x in spans if t[x[0] : x[1]].strip(_TRIM)]
+    return _join(parts, filled) if isinstance(parts, Parts) else filled
+
+
+def _parse(t: str, at: Span, parts: Parts | Plain, flags: set[str], quotes: dict[int, str]) -> list[Span]:
     if parts.complete(at) < 2:
         return [at]
     for name, rule in RULES:
         spans = rule(t, at)
         if spans is None:
-            if name == "quoted" and t[at[0] : at[1]].lstrip()[:1] in "\"'":
-                flags.add("malformed_quote")
-            elif name == "bracketed" and _open_bracket(t, at):
-                flags.add("unclosed_bracket")
             continue
-        good = _join(parts, [x for x in spans if t[x[0] : x[1]].strip(_TRIM)])
+        good = _good(parts, t, spans)
         if sum(parts.complete(x) >= 1 for x in good) == len(good) > 1:
             if any(not t[x[0] : x[1]].strip(_TRIM) for x in spans[1:-1]):
                 flags.add("empty_value")
-            return [y for x in good for y in _parse(t, x, parts, flags)]
-    good = _bare(parts, at)
+            if name == "quoted":
+                quotes |= {x[0]: t[x[0] - 1] for x in good}
+            return [y for x in good for y in _parse(t, x, parts, flags, quotes)] if parts.nested else good
+    if not isinstance(parts, Parts):
+        return [at]
     flags.add("no_delimiter")
-    return good
+    return _bare(parts, at)
+
+
+def _open(t: str, flags: set[str]) -> None:
+    """Flags a quote or bracket that the text begins with and never closes."""
+    s = t.lstrip()
+    if s[:1] in ('"', "'") and s.count(s[0]) % 2:
+        flags.add("malformed_quote")
+    if _open_bracket(t, (0, len(t))):
+        flags.add("unclosed_bracket")
 
 
-def split_field(text: str | None) -> list[tuple[int, str, str]]:
-    """(position from 1, value, flags) of each value in a field of addresses.
+def split_field(text: str | None, accept: type[Parts] | type[Plain] = Parts) -> list[tuple[int, str, str]]:
+    """(position from 1, value, flags) of each value in a field, of addresses unless `accept` is Plain.
 
-    A null, empty or blank field has no value, nor have the left-overs of joined empty columns (nan, NULL, 0, 0.0); a field with one address (or none that is complete) is one value. Flags, comma
-    separated: malformed_quote, unclosed_bracket, empty_value (two delimiters in a row), no_delimiter."""
+    A null, empty or blank field has no value, nor have the left-overs of joined empty columns (nan, NULL, 0, 0.0); a field with one address
+    (or none that is complete) is one value. Flags, comma separated: malformed_quote, unclosed_bracket, empty_value (two delimiters in a
+    row), no_delimiter."""
     if text is None or not (text := _LEFT_OVER.sub("", text)).strip(_TRIM):
         return []
     t = prepared(text)
-    if len(t) < 20:
-        return [(1, text.strip(), "")]
     flags: set[str] = set()
-    spans = _parse(t, (0, len(t)), Parts(t), flags)
-    if len(spans) == 1:
-        return [(1, text.strip(), "")]
-    src = text if len(text) == len(t) else t
+    quotes: dict[int, str] = {}
+    _open(t, flags)
+    spans = _parse(t, (0, len(t)), accept(t), flags, quotes)
     f = ",".join(sorted(flags))
-    return [(i, src[s:e].strip(_TRIM), f) for i, (s, e) in enumerate(spans, 1)]
+    if len(spans) == 1:
+        return [(1, text.strip(), f)]
+    if text.isascii():
+        places = range(len(t) + 1)
+    else:
+        again, places = fold_with_offsets(text)
+        if again != t:  # marks in an unusual order
+            text, places = t, range(len(t) + 1)
+    out = []
+    for i, (s, e) in enumerate(spans, 1):
+        value = text[places[s] : places[e]].strip(_TRIM)
+        out.append((i, value.replace(quotes[s] * 2, quotes[s]) if s in quotes else value, f))
+    return out
 
 
 SCHEMA = T.StructType([T.StructField("pos", T.LongType()), T.StructField("value", T.StringType()), T.StructField("flags", T.StringType())])
 
 
-def split_values(df: DataFrame, column: str, keys: list[str], several_only: bool = False) -> DataFrame:
+def split_values(df: DataFrame, column: str, keys: list[str], several_only: bool = False, accept: type[Parts] | type[Plain] = Parts) -> DataFrame:
     """One row per value of `column`: the key columns, `pos` (bigint, from 1), `value`, `flags`.
 
     Fields without a value give no row; repeated rows are split each for itself; other columns of `df` may have any name, as only
     the keys and `column` are read. `several_only` keeps fields with two values or more. No shuffle: one pass over the scan."""
     picked = df.select(*keys, F.col(column).alias("__text")).where(F.col("__text").isNotNull())
+    if several_only and accept is Parts:
+        # two addresses have two house numbers, runs of one to four digits. A pure ASCII field with fewer can't hold two; in others
+        # folding may make digits, so they all go to the parser
+        short = F.filter(F.split("__text", "[^0-9]+"), lambda x: F.length(x).between(1, 4))
+        picked = picked.where(F.col("__text").rlike(r"[^\x00-\x7F]") | (F.size(short) >= 2))
     schema = T.StructType([*(picked.schema[k] for k in keys), *SCHEMA])
     arrow = None
 
@@ -252,7 +295,7 @@ def split_values(df: DataFrame, column: str, keys: list[str], several_only: bool
             take: list[int] = []
             rows: list[tuple[int, str, str]] = []
             for i, text in enumerate(b.column("__text").to_pylist()):
-                got = split_field(text)
+                got = split_field(text, accept)
                 if len(got) > (1 if several_only else 0):
                     take.extend([i] * len(got))
                     rows.extend(got)
