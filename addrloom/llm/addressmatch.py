@@ -4,10 +4,12 @@
    number, PIN and town; fields with several addresses are left out.
 2. Street and locality names are corrected against the whole table's own spelling counts: a name turns into another one slip
    away, or sounding the same, that is at least `RATIO` times as frequent (deletion-neighbourhood equi-join on the distinct names).
-3. Tokens are (house, street) and (house, locality). Every address is *indexed* under its rarest token - that of the less
-   frequent name - and *probes* with all of its tokens, so that an address that lacks a part finds the fuller ones.
-4. A candidate is verified: no part that both have may differ, and the weight of the parts they share must be at least
-   `CONTAINED` of the weight of the poorer address.
+3. Tokens are (house, flat, street) and (house, flat, locality). Every address is *indexed* under its rarest token - that of the less
+   frequent name - and *probes* with its tokens. A pair that both directions find comes from the one that indexes the lower row, so
+   no pair arises twice and nothing is deduplicated. The join carries hashes only.
+4. A candidate is verified: no part that both have may differ (no contradiction), and the parts they share must hold `CONTAINED` of the
+   weight of the poorer address. A part weighs the bits of its rarity in the whole table, log2(N / rows with it), so a common house
+   number on a common street alone is not enough if each has other parts that the other lacks.
 
 Null, empty and unparseable addresses (no house, or neither street nor locality) are in no pair; repeated rows are pairs.
 """
@@ -25,21 +27,20 @@ from ..functions.names import NameIndex, bare_name, plain_pin
 from ..plans.tables import shared, small, spread, table
 
 RATIO = 3
-CONTAINED = 0.6
-#: Directory rows up to which towns are looked up in the scan; a larger directory is not sent to the tasks and PINs and town
-#: names are then compared as written.
+CONTAINED = 0.7
+#: Most rows of the two directories, which are sent to the tasks. They are lists of fixed size; more is an error, not another result.
 DIRECTORY_ROWS = 200_000
 PARSED = "row_id bigint, house string, flat string, sname string, stype string, lname string, ltype string, pin string, town string"
 _NAMES = [x.split()[0] for x in PARSED.split(", ")]
 
 
 def _directory(spark: SparkSession, sf_dir: str) -> tuple[dict[str, str], dict[str, str]]:
-    """PIN to town and town spelling to town, from the directories of fixed size; empty if they are too large to be sent."""
+    """PIN to town and town spelling to town, from the directories of fixed size."""
     pins = table(spark, sf_dir, "pin_directory").select("pincode", "city")
     towns = table(spark, sf_dir, "geo_directory").where("entity_type = 'ULB'").select("geo_name", "former_name")
     p, t = pins.limit(DIRECTORY_ROWS + 1).collect(), towns.limit(DIRECTORY_ROWS + 1).collect()
     if max(len(p), len(t)) > DIRECTORY_ROWS:
-        return {}, {}
+        raise ValueError(f"a directory has more than {DIRECTORY_ROWS} rows")
     spelt = {bare_name(r.former_name): r.geo_name for r in t if r.former_name} | {bare_name(r.geo_name): r.geo_name for r in t}
     return {r.pincode: r.city for r in p if r.pincode and r.city}, spelt
 
@@ -53,7 +54,7 @@ def parse(df: DataFrame, pins: dict[str, str], towns: dict[str, str]) -> DataFra
             ids, texts, cities, codes = (b.column(i).to_pylist() for i in range(4))
             out: tuple[list, ...] = tuple([] for _ in _NAMES)
             for rid, text, city, code in zip(ids, texts, cities, codes):
-                if text is None or rid is None or len(text) < 4:
+                if not text or rid is None:
                     continue
                 house = flat = street = loc = ""
                 tpin = ""
@@ -74,17 +75,15 @@ def parse(df: DataFrame, pins: dict[str, str], towns: dict[str, str]) -> DataFra
                         words.append(value)
                 if min(n) > 1 or not house or not (street or loc):
                     continue
-                town = index.find(bare_name(city)) if towns else bare_name(city)
+                town = index.find(bare_name(city))
                 cpin = plain_pin(code)
                 pin = tpin if tpin in pins else ""
                 if pin:
                     town = pins[pin]
                 else:
-                    if not town and words and towns:
+                    if not town and words:
                         town = next((t for w in reversed(words) if len(w) > 5 and (t := index.find(w))), "")
-                    if not pins:
-                        pin = tpin or cpin
-                    elif cpin in pins and (not town or town == pins[cpin]):
+                    if cpin in pins and (not town or town == pins[cpin]):
                         pin, town = cpin, pins[cpin]
                 sname, _, stype = street.partition(" ")
                 lname, _, ltype = loc.partition(" ")
@@ -122,19 +121,30 @@ def same_location(parts: DataFrame) -> DataFrame:
     names = small(shared(spellings(parts), "spellings"))
     for side in ("s", "l"):
         fixed = names.select(F.col("name").alias(f"{side}name"), F.col("canon").alias(f"{side}canon"), F.col("n").alias(f"{side}n"))
-        parts = parts.join(fixed, f"{side}name", "left")
-    s = F.when(F.col("sname") != "", F.concat_ws(" ", F.coalesce("scanon", "sname"), "stype"))
-    loc = F.when(F.col("lname") != "", F.concat_ws(" ", F.coalesce("lcanon", "lname"), "ltype"))
-    full = parts.select("row_id", "house", "flat", s.alias("s"), loc.alias("l"), "pin", "town", "sn", "ln").select(
-        "row_id", "flat", "s", "l", F.nullif("pin", F.lit("")).alias("pin"), F.nullif("town", F.lit("")).alias("town"),
-        F.when(F.col("s").isNotNull(), F.xxhash64("house", F.lit("s"), "s")).alias("ts"),
-        F.when(F.col("l").isNotNull(), F.xxhash64("house", F.lit("l"), "l")).alias("tl"),
-        # ordinal streets (6 CROSS) have no name of their own and are the more frequent of the two
-        (F.col("l").isNotNull() & (F.col("s").isNull() | F.col("sn").isNull() | (F.col("ln") < F.col("sn")))).alias("by_l"),
-        "house",
+        parts = parts.withColumn(f"{side}name", F.nullif(f"{side}name", F.lit(""))).join(fixed, f"{side}name", "left")
+    s = F.concat_ws(" ", F.coalesce("scanon", "sname"), F.nullif("stype", F.lit("")))
+    loc = F.concat_ws(" ", F.coalesce("lcanon", "lname"), F.nullif("ltype", F.lit("")))
+    full = parts.select(
+        "row_id", "house", "flat", F.when(F.col("sname").isNotNull(), s).alias("s"), F.when(F.col("lname").isNotNull(), loc).alias("l"), "sn", "ln",
+        F.nullif("pin", F.lit("")).alias("pin"), F.nullif("town", F.lit("")).alias("town"),
     )
-    cols = ("row_id", "house", "flat", "s", "l", "pin", "town")
-    index = full.select(F.when(F.col("by_l"), F.col("tl")).otherwise(F.coalesce("ts", "tl")).alias("token"), *(F.col(c).alias(f"{c}_a") for c in cols))
+    full = shared(full, "corrected")
+    total = full.count()
+    for c in ("house", "s", "l", "town"):  # bits of each value's rarity
+        bits = full.where(F.col(c).isNotNull()).groupBy(c).agg(F.log2(F.lit(float(max(2, total))) / F.count("*")).cast("float").alias(f"{c}_bits"))
+        full = full.join(small(shared(bits, f"bits-{c}")), c, "left")
+    # ordinal streets (6 CROSS) have no name of their own and are the more frequent of the two
+    by_l = F.col("l").isNotNull() & (F.col("s").isNull() | F.col("sn").isNull() | (F.col("ln") < F.col("sn")))
+    place = [F.col("house"), F.col("flat")]
+    full = full.select(
+        "row_id", F.xxhash64("s").alias("hs"), F.xxhash64("l").alias("hl"), F.col("pin").cast("int").alias("pin"), F.when(F.col("town").isNotNull(), F.xxhash64("town")).alias("town"),
+        F.when(F.col("s").isNotNull(), F.xxhash64(*place, F.lit("s"), "s")).alias("ts"), F.when(F.col("l").isNotNull(), F.xxhash64(*place, F.lit("l"), "l")).alias("tl"),
+        by_l.alias("by_l"), "house_bits", "s_bits", "l_bits", "town_bits",
+    )
+    full = full.withColumns({"hs": F.when(F.col("ts").isNotNull(), F.col("hs")), "hl": F.when(F.col("tl").isNotNull(), F.col("hl"))})
+    full = full.withColumn("own", F.when(F.col("by_l"), F.col("tl")).otherwise(F.coalesce("ts", "tl"))).drop("by_l")
+    cols = ("row_id", "hs", "hl", "pin", "town", "ts", "tl", "own", "house_bits", "s_bits", "l_bits", "town_bits")
+    index = full.select(F.col("own").alias("token"), *(F.col(c).alias(f"{c}_a") for c in cols))
     probe = full.select(F.explode(F.array_compact(F.array("ts", "tl"))).alias("token"), *(F.col(c).alias(f"{c}_b") for c in cols))
 
     def agree(c: str) -> F.Column:
@@ -143,21 +153,19 @@ def same_location(parts: DataFrame) -> DataFrame:
     def lacks(c: str) -> F.Column:
         return F.col(f"{c}_a").isNull() | F.col(f"{c}_b").isNull()
 
-    def weigh(c: str, w: float, side: str = "") -> F.Column:
-        held = F.col(f"{c}_{side}").isNotNull() if side else agree(c)
-        return F.when(held, F.lit(w)).otherwise(0.0)
+    def bits(c: str, side: str) -> F.Column:
+        return F.coalesce(F.col(f"{c}_bits_{side}"), F.lit(0.0))
 
-    part = {"s": 3.0, "l": 3.0, "pin": 1.0, "town": 1.0}
-    total = [sum((weigh(c, w, x) for c, w in part.items()), F.lit(2.0)) for x in "ab"]
-    shared_weight = sum((weigh(c, w) for c, w in part.items()), F.lit(2.0))
+    both = F.coalesce(F.col("own_b") == F.col("ts_a"), F.lit(False)) | F.coalesce(F.col("own_b") == F.col("tl_a"), F.lit(False))  # the other direction finds it too
+    weight = [sum((bits(c, x) for c in ("s", "l", "town")), bits("house", x)) for x in "ab"]
+    alike = sum((F.when(F.coalesce(agree(h), F.lit(False)), bits(c, "a")).otherwise(0.0) for h, c in (("hs", "s"), ("hl", "l"), ("town", "town"))), bits("house", "a"))
     area = F.when(~lacks("pin"), agree("pin")).otherwise(lacks("town") | agree("town"))
     return (
         index.join(probe, "token")
-        .where(agree("house") & agree("flat") & (F.col("row_id_a") != F.col("row_id_b")))
-        .where((lacks("s") | agree("s")) & (lacks("l") | agree("l")) & area)
-        .where(shared_weight >= CONTAINED * F.least(*total))
+        .where((F.col("row_id_a") < F.col("row_id_b")) | ((F.col("row_id_a") > F.col("row_id_b")) & ~both))
+        .where((lacks("hs") | agree("hs")) & (lacks("hl") | agree("hl")) & area)
+        .where(alike >= CONTAINED * F.least(*weight))
         .select(F.least("row_id_a", "row_id_b").alias("row_id_a"), F.greatest("row_id_a", "row_id_b").alias("row_id_b"))
-        .dropDuplicates()
     )
 
 

@@ -4,12 +4,13 @@ Distinct values are brought to bare capital letters (look-alikes, accents, punct
 then matched against the spellings of the list (present name, former name, abbreviation):
 
 * equal spellings first;
-* else an anagram within four edits (letters exchanged twice), an equality join of the sorted letters;
 * else a spelling cut into k+1 segments: within k edits at least one segment survives whole, shifted by at most k places, so
   the candidates are an equality join of segments with the value's substrings at those places; each is verified with the
-  built-in levenshtein, and the one nearest spelling wins (none if two entries are equally near and not namesakes);
-  Both run over the letters as typed and over their spelling by sound;
-* values without a match are what an anti-join leaves, reported with code 0.
+  built-in levenshtein, and the one nearest spelling wins (none if two entries are equally near and not namesakes).
+  It runs over the letters as typed and over their spelling by sound. Spellings of 8 letters or more may also have two pairs of
+  neighbours exchanged (four edits, the same letters): they are cut a second time at other places, and as an exchange damages
+  two segments only across a cut, the two cuttings leave a whole segment in one of them;
+* values without a match are what an anti-join against the matched values leaves; they are reported with code 0.
 
 k is 1 for spellings of 4, 2 of 5 to 7 and 3 of 8 or more letters; shorter ones and abbreviations must be equal.
 """
@@ -65,10 +66,6 @@ def _forms(c: Column) -> Column:
     return F.array_distinct(F.array(F.replace(c, F.lit(" "), F.lit("")), by_sound(c)))
 
 
-def _letters(c: str) -> Column:
-    return F.array_join(F.array_sort(F.split(c, "")), "")
-
-
 def is_missing(c: Column) -> Column:
     return c.isNull() | F.upper(F.trim(c)).isin(*MISSING)
 
@@ -91,12 +88,17 @@ def spellings(entries: DataFrame) -> DataFrame:
 
 
 def _segments(words: DataFrame) -> DataFrame:
-    """Each spelling's k+1 segments: (kind, word, k, from, seg); the lengths differ by one at most."""
+    """Each spelling's k+1 segments, in the longer ones cut twice: (kind, word, k, from, seg)."""
     n, parts, i = F.length("word"), F.col("k") + 1, F.col("i")
-    begin = F.floor(n * i / parts)
+    shift = F.col("shift")
+
+    def cut(at: Column) -> Column:
+        return F.floor(n * at / parts) + F.when((at > 0) & (at < parts), shift).otherwise(0)
+
+    cuttings = F.explode(F.when(F.col("k") == MOST_EDITS, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     return (
-        words.where("k > 0").select("kind", "word", "k").distinct().select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"))
-        .select("kind", "word", "k", (begin + 1).cast("int").alias("from"), (F.floor(n * (i + 1) / parts) - begin).cast("int").alias("size"))
+        words.where("k > 0").select("kind", "word", "k").distinct().select("*", cuttings.alias("shift")).select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"))
+        .select("kind", "word", "k", (cut(i) + 1).cast("int").alias("from"), (cut(i + 1) - cut(i)).cast("int").alias("size"))
         .select("kind", "word", "k", "from", F.substring("word", F.col("from"), F.col("size")).alias("seg"))
     )
 
@@ -109,12 +111,7 @@ def match(values: DataFrame, entries: DataFrame) -> DataFrame:
     typed = shared(typed, "typed")  # read by several branches: the values are normalised once
     keys = typed.select("kind", "typed").distinct()
     exact = keys.join(words.select("kind", F.col("word").alias("typed"), "word").distinct(), ["kind", "typed"]).select("kind", "typed", "word", F.lit(0).alias("d"))
-    rest = keys.join(exact, ["kind", "typed"], "left_anti").where("length(typed) >= 3")
-    mixed = (
-        rest.withColumn("letters", _letters("typed")).join(words.where("k > 1").select("kind", "word", _letters("word").alias("letters")).distinct(), ["kind", "letters"])
-        .select("kind", "typed", "word", F.levenshtein("typed", "word", 4).alias("d")).where("d BETWEEN 0 AND 4")
-        .select("kind", "typed", "word", F.ceil(F.col("d") / 2).cast("int").alias("d"))
-    )
+    rest = keys.join(exact, ["kind", "typed"], "left_anti")
     segments = _segments(words)
     # places where a segment may start in the value, and the sizes that segments have: both follow from the list alone
     places = segments.select("kind", "from", F.length("seg").alias("size"), "k").distinct().groupBy("kind").agg(F.collect_set(F.struct("from", "size", "k")).alias("places"))
@@ -124,12 +121,14 @@ def match(values: DataFrame, entries: DataFrame) -> DataFrame:
         .where("at >= 1 AND at + size - 1 <= length(typed)")
         .select("kind", "typed", "from", "k", F.substring("typed", F.col("at"), F.col("size")).alias("seg")).distinct()
     )
-    d = F.levenshtein("typed", "word", MOST_EDITS)
+    d = F.levenshtein("typed", "word", MOST_EDITS + 1)
+    exchanged = (F.col("k") == MOST_EDITS) & (F.col("d") == MOST_EDITS + 1) & (F.length("typed") == F.length("word")) & (F.array_sort(F.split("typed", "")) == F.array_sort(F.split("word", "")))
     near = (
         probes.join(segments, ["kind", "from", "k", "seg"]).where(F.abs(F.length("typed") - F.length("word")) <= F.col("k"))
-        .select("kind", "typed", "word", "k").distinct().withColumn("d", d).where("d BETWEEN 0 AND k").select("kind", "typed", "word", "d")
+        .select("kind", "typed", "word", "k").distinct().withColumn("d", d).where(F.col("d").between(F.lit(0), F.col("k")) | exchanged)
+        .select("kind", "typed", "word", F.when(exchanged, 2).otherwise(F.col("d")).alias("d"))
     )
-    hits = typed.join(exact.unionAll(mixed).unionAll(near), ["kind", "typed"]).join(words.select("kind", "word", "code", "state"), ["kind", "word"])
+    hits = typed.join(exact.unionAll(near), ["kind", "typed"]).join(words.select("kind", "word", "code", "state"), ["kind", "word"])
     best = hits.groupBy("kind", "value").agg(F.min("d").alias("least"), F.collect_set(F.struct("d", "code", "state", "word")).alias("all"))
     nearest = best.select("kind", "value", F.expr("filter(all, x -> x.d = least)").alias("n"))
     entry = F.expr("array_distinct(transform(n, x -> named_struct('code', x.code, 'state', x.state)))")
@@ -158,10 +157,11 @@ def linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = _cells(spark, sf_dir).join(names, ["kind", "value"], "left_anti")
     # the states are values of their own: those that namesakes need are matched along with the rest
     typed = cases.select("kind", "value").distinct()
-    found = small(shared(match(typed, entries), "matched"))
-    hit = cases.join(found, ["kind", "value"], "left")
-    plain = hit.where("entries IS NULL OR size(entries) = 1").select("field_name", "kind", "rec_id", "value", F.coalesce(F.expr("get(entries, 0).code"), F.lit(0)).cast("bigint").alias("geo_code"))
-    two = hit.where("size(entries) > 1")
+    found = shared(match(typed, entries), "matched")
+    one, several = found.where("size(entries) = 1"), found.where("size(entries) > 1")
+    plain = cases.join(small(one), ["kind", "value"]).select("field_name", "kind", "rec_id", "value", F.expr("entries[0].code").cast("bigint").alias("geo_code"))
+    lost = cases.join(small(found.select("kind", "value")), ["kind", "value"], "left_anti").select("field_name", "kind", "rec_id", "value", F.lit(0).cast("bigint").alias("geo_code"))
+    two = cases.join(small(several), ["kind", "value"])
     states = entries.where("entity_type = 'STATE'")
     own = found.where("kind = 'STATE' AND size(entries) = 1").select(F.col("value").alias("state"), F.expr("entries[0].state").alias("own_state"))
     exact = states.select(F.col("geo_name").alias("state"), F.col("geo_name").alias("exact_state"))
@@ -173,11 +173,11 @@ def linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     far = two.where("field_name = 'resolution.input_value'").select("row_id").distinct()
     two = two.join(back.join(small(far), "row_id", "left_semi"), "row_id", "left")
     two = two.withColumn("state", F.when(is_missing(F.col("state")), F.col("row_state")).otherwise(F.col("state"))).withColumn("pincode", F.coalesce("pincode", "row_pin"))
-    two = two.join(F.broadcast(exact), "state", "left").join(small(own), "state", "left").withColumn("pin6", digits).join(small(pins), "pin6", "left")
+    two = two.join(small(exact), "state", "left").join(small(own), "state", "left").withColumn("pin6", digits).join(small(pins), "pin6", "left")
     want = F.coalesce("exact_state", "own_state", "pin_state")
     two = two.withColumn("want", want).withColumn("codes", F.expr("array_sort(transform(filter(entries, x -> x.state = want), x -> x.code))"))
     code = F.coalesce(F.expr("get(codes, 0)"), F.expr("array_min(transform(entries, x -> x.code))"))
-    return plain.unionAll(two.select("field_name", "kind", "rec_id", "value", code.cast("bigint").alias("geo_code")))
+    return plain.unionAll(lost).unionAll(two.select("field_name", "kind", "rec_id", "value", code.cast("bigint").alias("geo_code")))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

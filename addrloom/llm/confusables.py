@@ -6,7 +6,8 @@ belong to all) and, where the table of look-alikes has a counterpart, the script
 * an empty intersection of the *own* scripts is a mixed-script token; it is respelt in the script that the extended sets still
   share, Latin if there are several;
 * a token of one script other than Latin whose every letter has a Latin look-alike is a whole-script confusable; it is respelt in
-  Latin unless the same value holds letters of its script that have none, that is, real text of that script;
+  Latin unless its script is really in use: the same value, or `IN_USE` of the column's values with letters, hold letters of it
+  that have no look-alike;
 * what remains is brought to one form: compatibility characters to what they stand for, letter and accent to one character,
   invisible characters away, other spaces to the plain one.
 
@@ -31,7 +32,9 @@ from ..plans.tables import spread, table
 
 _TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _HIDDEN = regex.compile(f"[{INVISIBLE}]")
-_JOINED = regex.compile(r"(?<=\p{Devanagari})[‌‍]+(?=\p{Devanagari})|(?<=\p{Devanagari})[‌‍]+")
+_JOINED = regex.compile(r"(?<=\p{Devanagari})[‌‍]+(?=\p{Devanagari})")
+#: Share of a column's values from which a script other than Latin counts as in use there.
+IN_USE = 0.01
 _SPACE = regex.compile(r"[\p{Zs}--\x20]", regex.V1)
 _MARKED = regex.compile(r"[^\p{M}\p{Devanagari}]\p{M}+")
 #: Scripts that can stand for each other letter by letter in the table of look-alikes.
@@ -88,8 +91,10 @@ def _compatible(ch: str) -> bool:
     return unicodedata.decomposition(ch)[:1] == "<"
 
 
-def normalize(text: str) -> tuple[str, tuple[str, ...]]:
-    """(consistent form, kinds of change): compatibility, accent, invisible, space, script - in this order, none for ASCII."""
+def normalize(text: str, in_use: frozenset[str] = frozenset()) -> tuple[str, tuple[str, ...]]:
+    """(consistent form, kinds of change): compatibility, accent, invisible, space, script - in this order, none for ASCII.
+
+    `in_use` are the scripts other than Latin in which the column is really written."""
     if text.isascii():
         return text, ()
     kinds = []
@@ -107,7 +112,7 @@ def normalize(text: str) -> tuple[str, tuple[str, ...]]:
         t = "".join(unicodedata.normalize("NFKC", ch) if _compatible(ch) else ch for ch in t)
         kinds.append("compatibility")
 
-    real = frozenset(s for ch in set(t) if not ch.isascii() and ch not in LOOKALIKES for s in own_scripts(ch) if own_scripts(ch) != _ALL) - {"Latin"}
+    real = frozenset(s for ch in set(t) if not ch.isascii() and ch not in LOOKALIKES for s in own_scripts(ch) if own_scripts(ch) != _ALL) - {"Latin"} | in_use
     s = _TOKEN.sub(lambda m: m.group() if m.group().isascii() else resolve(m.group(), real), t)
     if s != t:
         t = s
@@ -123,22 +128,40 @@ def normalize(text: str) -> tuple[str, tuple[str, ...]]:
     return t, tuple(k for k in ("compatibility", "accent", "invisible", "space", "script") if k in kinds)
 
 
+#: Scripts that have look-alikes, by their names in regular expressions of the JVM.
+CONFUSABLE = ("Greek", "Cyrillic", "Armenian", "Cherokee", "Lisu", "Coptic")
+
+
+def scripts_in_use(df: DataFrame, columns: list[str]) -> dict[str, frozenset[str]]:
+    """For each column the confusable scripts in which at least `IN_USE` of its values with letters are really written: one aggregation
+    over all values, a few numbers to the driver."""
+    counts = []
+    for c in columns:
+        rest = F.translate(F.col(c), "".join(LOOKALIKES), "")
+        counts.append(F.count_if(F.col(c).rlike(r"\p{L}")).alias(f"{c}__all"))
+        counts += [F.count_if(F.col(c).rlike(r"[^\x00-\x7F]") & rest.rlike(rf"\p{{Is{s}}}")).alias(f"{c}__{s}") for s in CONFUSABLE]
+    got = df.agg(*counts).collect()[0].asDict()
+    return {c: frozenset(s for s in CONFUSABLE if got[f"{c}__{s}"] and got[f"{c}__{s}"] >= IN_USE * got[f"{c}__all"]) for c in columns}
+
+
 def normalized(df: DataFrame, keys: list[str], columns: list[str], changed_only: bool = False) -> DataFrame:
-    """One row per cell of `columns`: keys, field_name, value, form, kinds (comma separated). No shuffle.
+    """One row per cell of `columns`: keys, field_name, value, form, kinds (comma separated). One small aggregation before, no shuffle of the values.
 
     `changed_only` keeps the cells whose form differs; pure ASCII cells are then dropped before they reach Python."""
-    cells = [df.select(*keys, F.lit(c).alias("field_name"), F.col(c).alias("value")) for c in columns]
-    long = cells[0]
-    if len(cells) > 1:
-        pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("f"), F.col(c).alias("v")) for c in columns))).alias("cell")
-        long = df.select(*keys, pairs).select(*keys, F.col("cell.f").alias("field_name"), F.col("cell.v").alias("value"))
+    in_use = scripts_in_use(df, columns)
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("f"), F.col(c).alias("v")) for c in columns))).alias("cell")
+    long = df.select(*keys, pairs).select(*keys, F.col("cell.f").alias("field_name"), F.col("cell.v").alias("value"))
     if changed_only:
         long = long.where(F.col("value").rlike(r"[^\x00-\x7F]"))
     schema = T.StructType([*long.schema, T.StructField("form", T.StringType()), T.StructField("kinds", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [(None, None) if v is None else (f[0], ",".join(f[1])) for v in b.column("value").to_pylist() for f in [normalize(v) if v is not None else None]]
+            got = [(None, None)] * b.num_rows
+            for i, (c, v) in enumerate(zip(b.column("field_name").to_pylist(), b.column("value").to_pylist())):
+                if v is not None:
+                    form, kinds = normalize(v, in_use[c])
+                    got[i] = (form, ",".join(kinds))
             out = pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.string())], names=[*b.schema.names, "form", "kinds"])
             yield out.filter(pa.array([bool(g[1]) for g in got])) if changed_only else out
 

@@ -9,7 +9,7 @@
 3. The phrases found in a document are chained per item and aligned with it, allowing changed, added and dropped words. A stretch
    of `WORDS` item words or more is a leak; overlapping stretches are merged into removal spans.
 
-Shards hold `SHARD` words of such runs at most, so an executor's memory is bounded whatever the size of the corpus or of a text.
+A shard is searched once its documents have `SHARD` words, all of them counted; only a single longer text goes beyond.
 Null and empty texts hold nothing. Items with fewer than `WORDS` words never leak.
 """
 
@@ -116,10 +116,8 @@ def suffix_array(seq: np.ndarray) -> np.ndarray:
         start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
         place = np.arange(len(rows)) - np.repeat(start, np.diff(np.r_[start, len(rows)]))
         lead = np.maximum.accumulate(np.where(step == 1, np.arange(len(rows)), 0))
-        spread_out = np.arange(n, dtype=np.int64)  # rank as row number of the group's first row
-        base = np.maximum.accumulate(np.where(first, spread_out, 0))
-        rank[sa] = base
-        rank[at[order]] = base[rows] - base[rows] + (rows - place)[np.arange(len(rows))] + place[lead]
+        rank[sa] = np.maximum.accumulate(np.where(first, np.arange(n), 0))  # row number of the group's first row
+        rank[at[order]] = rows - place + place[lead]
         width *= 2
 
 
@@ -228,7 +226,7 @@ class Shard:
             return
         self.docs.append(doc)
         self.ids.append(a)
-        self.size += int(known.sum())
+        self.size += len(a)
 
     def leaks(self) -> list[tuple[int, int, int, int, int, int]]:
         """(doc, item, item words, words found, first and last word of the document) of each leak; empties the shard."""
