@@ -35,6 +35,8 @@ _HIDDEN = regex.compile(f"[{INVISIBLE}]")
 _JOINED = regex.compile(r"(?<=\p{Devanagari})[‌‍]+(?=\p{Devanagari})")
 #: Share of a column's values from which a script other than Latin counts as in use there.
 IN_USE = 0.01
+#: Most rounds of normalising; each but the last changes something that the one before made visible.
+ROUNDS = 8
 _SPACE = regex.compile(r"[\p{Zs}--\x20]", regex.V1)
 _MARKED = regex.compile(r"[^\p{M}\p{Devanagari}]\p{M}+")
 #: Scripts that can stand for each other letter by letter in the table of look-alikes.
@@ -94,9 +96,21 @@ def _compatible(ch: str) -> bool:
 def normalize(text: str, in_use: frozenset[str] = frozenset()) -> tuple[str, tuple[str, ...]]:
     """(consistent form, kinds of change): compatibility, accent, invisible, space, script - in this order, none for ASCII.
 
-    `in_use` are the scripts other than Latin in which the column is really written."""
+    `in_use` are the scripts other than Latin in which the column is really written. A form is its own form: steps that make room for
+    others, such as accents that change places, are followed by another round."""
+    form, kinds = text, set()
+    for _ in range(ROUNDS):
+        new, found = _round(form, in_use)
+        kinds |= set(found)
+        if new == form:
+            break
+        form = new
+    return form, tuple(k for k in ("compatibility", "accent", "invisible", "space", "script") if k in kinds)
+
+
+def _round(text: str, in_use: frozenset[str]) -> tuple[str, list[str]]:
     if text.isascii():
-        return text, ()
+        return text, []
     kinds = []
     keep = {i for m in _JOINED.finditer(text) for i in range(*m.span())}
     t = text
@@ -125,7 +139,7 @@ def normalize(text: str, in_use: frozenset[str] = frozenset()) -> tuple[str, tup
     if s != t:
         t = s
         kinds.append("accent")
-    return t, tuple(k for k in ("compatibility", "accent", "invisible", "space", "script") if k in kinds)
+    return t, kinds
 
 
 #: Scripts that have look-alikes, by their names in regular expressions of the JVM.
