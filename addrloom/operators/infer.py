@@ -14,7 +14,7 @@ from ..functions import text as t
 from ..functions.similar import collapse_repeats
 from ..plans.tables import shared, small, table
 from .resolve import Reference, keyed, resolved
-from .textqueries import q, s_entity, s_last_pin, s_mapped, s_no_decimal, s_resolving, s_six, s_text
+from .textqueries import q, s_city, s_clean, s_entity, s_last_pin, s_mapped, s_matching, s_no_decimal, s_resolving, s_six, s_text
 
 
 def contained(rows: DataFrame, form: Column, names: DataFrame, shortest: int = 3, word: int = 2) -> DataFrame:
@@ -234,7 +234,40 @@ def _sql() -> dict[str, str]:
       x AS (SELECT *, concat_ws(', ', CASE WHEN upper(a) IN ('', '-', '--', '0', '0.0', 'NA', 'N/A', 'NULL', 'NONE') THEN 'Complete Address' END, CASE WHEN city = '' THEN 'City' END, CASE WHEN s1 = '' THEN 'State' END, CASE WHEN p2 = '' THEN 'Pincode' END) AS lacking FROM v)
       SELECT row_id, city, s1 AS state, p2 AS pincode, coalesce(nullif(concat_ws('; ', CASE WHEN s0 = '' AND s1 <> '' THEN 'state auto resolved from null->' || s1 END, CASE WHEN s0 <> '' AND s1 <> s0 THEN 'state auto corrected ' || os || '->' || s1 END,
         CASE WHEN fix THEN 'pin auto corrected ' || coalesce(nullif(op, ''), 'null') || '->' || p2 END, CASE WHEN city <> '' THEN 'city missing and resolved null->' || city END, CASE WHEN lacking <> '' THEN 'Missing: ' || lacking END), ''), {q(NO_RESOLUTION)}) AS remark FROM x"""
+    # the cleaner: a PIN is cut out twice, as neighbours share the character between them and the dialect can't look around
+    longest = sorted(t.STATES_IN_TEXT, key=lambda z: (-len(z), z))
+    said = s_mapped(rf"coalesce(regexp_extract_all({s_matching('raw')}, '\b(?:{'|'.join(longest)})\b')[-1], '')", t.STATES_IN_TEXT)
+    forms: dict[str, list[str]] = {}
+    for form, name in t.STATES_IN_TEXT.items():
+        forms.setdefault(name, []).append(form)
+
+    def no_state(c: str) -> str:
+        cases = " ".join(f"WHEN {q(n)} THEN regexp_replace({s_matching(c)}, {q(chr(92) + 'b(?:' + '|'.join(sorted({*f, n}, key=lambda z: (-len(z), z))) + ')' + chr(92) + 'b')}, ' ', 'g')" for n, f in sorted(forms.items()))
+        return f"CASE WHEN state = '' THEN {s_matching(c)} ELSE trim(regexp_replace(CASE state {cases} END, ' +', ' ', 'g')) END"
+
+    def no_pin(c: str) -> str:
+        once = r"regexp_replace({0}, '(^|[^\p{Nd}])' || pin || '([^\p{Nd}]|$)', '\1 \2', 'g')"
+        return f"CASE WHEN pin = '' THEN {c} ELSE {once.replace('{0}', once.replace('{0}', c))} END"
+
+    def no_meta(c: str) -> str:
+        cut = f"({no_pin(s_clean(c))})"
+        return rf"regexp_replace(regexp_replace(CASE WHEN state = '' THEN {cut} ELSE ({no_state(cut)}) END, '{t.WS}+', ' ', 'g'), '\A[ ,]+|[ ,]+\z', '', 'g')"
+
+    segs = f"CASE WHEN pin = '' THEN {s_clean('raw')} ELSE array_to_string(list_filter(list_transform(string_split({s_clean('raw')}, ','), lambda z: trim(z)), lambda z: z <> '' AND {s_matching('z')} <> pin), ',') END"
+    parts = rf"""WITH a AS (SELECT row_id, raw, {s_last_pin('raw')} AS pin, {said} AS state FROM (SELECT row_id, {s_clean('full_address')} AS raw FROM {addr})),
+      b AS (SELECT *, {segs} AS no_segment FROM a), c AS (SELECT *, {no_meta('no_segment')} AS body, {no_meta('raw')} AS tail FROM b),
+      g AS (SELECT row_id, state, pin, pos, regexp_replace(regexp_replace(CASE WHEN state = '' THEN k ELSE ({no_state('k')}) END, '{t.WS}+', ' ', 'g'), '\A[ ,/-]+|[ ,/-]+\z', '', 'g') AS z FROM (SELECT *, {no_pin(s_clean('seg'))} AS k FROM (SELECT row_id, state, pin, unnest(range(len(l))) AS pos, unnest(l) AS seg FROM (SELECT *, string_split(raw, ',') AS l FROM c)) WHERE seg <> '')),
+      s AS (SELECT row_id, arg_max(z, pos) AS by_segment FROM g WHERE {s_city('z', 'state', 'pin')} GROUP BY row_id),
+      w AS (SELECT row_id, state, pin, n, array_to_string(list_slice(ws, len(ws) - n + 1, len(ws)), ' ') AS z FROM (SELECT row_id, state, pin, ws, unnest(range(1, least(4, len(ws)) + 1)) AS n FROM (SELECT *, string_split(tail, ' ') AS ws FROM c))),
+      x AS (SELECT row_id, arg_min(z, n) AS by_suffix FROM w WHERE {s_city('z', 'state', 'pin')} GROUP BY row_id),
+      u AS (SELECT DISTINCT name FROM ({un}) WHERE length(name) >= 3 AND len(list_filter(string_split(name, ' '), lambda z: length(z) >= 3)) > 0),
+      n AS (SELECT c.row_id, c.raw, c.pin, c.state, {s_matching('c.raw')} AS m FROM c LEFT JOIN s USING (row_id) WHERE coalesce(by_segment, '') = '' AND c.raw <> ''),
+      o AS (SELECT row_id, arg_max(name, (length(name), name)) AS by_town FROM n JOIN u ON {pad.format('m', 'name')} WHERE state = '' OR name <> state GROUP BY row_id),
+      f AS (SELECT row_id, arg_max(office, (length(om), office)) AS by_office FROM n JOIN (SELECT DISTINCT {s_last_pin('pincode')} AS pin, {s_clean('officename')} AS office, {s_matching('officename')} AS om FROM pin_directory) USING (pin) WHERE pin <> '' AND length(om) >= 3 AND {pad.format('m', 'om')} GROUP BY row_id)
+      SELECT row_id, pin, state, coalesce(by_segment, '') AS by_segment, coalesce(by_town, '') AS by_town, coalesce(by_office, '') AS by_office, coalesce(by_suffix, '') AS by_suffix,
+        coalesce(nullif(by_segment, ''), by_town, by_office, by_suffix, '') AS city, no_segment, body FROM c LEFT JOIN s USING (row_id) LEFT JOIN x USING (row_id) LEFT JOIN o USING (row_id) LEFT JOIN f USING (row_id)"""
     return {
+        "op_clean_parts": parts,
         "op_contained": f"SELECT row_id, 'district' AS kind, name FROM (SELECT row_id, {s_entity('full_address')} AS a FROM {addr}) JOIN ({dn}) ON length(name) >= 3 AND {pad.format('a', 'name')} UNION ALL SELECT DISTINCT row_id, 'ulb', name FROM (SELECT row_id, {s_resolving('full_address')} AS a FROM {addr}) JOIN ({un}) ON length(name) >= 3 AND len(list_filter(string_split(name, ' '), lambda z: length(z) >= 3)) > 0 AND {pad.format('a', 'name')}",
         "op_inferred_office": office,
         "op_auto_resolve": auto,

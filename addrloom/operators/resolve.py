@@ -29,8 +29,9 @@ KEYS = ("query", "state", "district", "subdistrict", "pin")
 class Reference:
     """The masters and the PIN context in the columns that resolution compares."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        m = masters(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame] | None = None):
+        """From the tables of a folder, or from standardised masters (sources.files.load_masters), which may lack a state."""
+        m = {k: v if "state_name" in v.columns else v.withColumn("state_name", F.lit("")) for k, v in (tables or masters(spark, sf_dir)).items()}
         self.pins = shared(pin_context(m["india_post"]), "pins")
         self.context = self.pins.select("pin", F.col("district_entities").alias("pin_districts"), F.col("canonical_states").alias("pin_states"))
         state = t.resolver_state(F.col("state_name"))
