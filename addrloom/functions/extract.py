@@ -83,11 +83,19 @@ def address_type(c: Column) -> Column:
 
 
 def may_be_city(c: Column, state: Column, pin: Column) -> Column:
-    """Whether a piece may name a city: no placeholder, PIN, state, premise or road word, not only digits."""
-    t = for_matching(c)
-    same_pin = (pin != "") & (t == for_matching(pin))
-    same_state = (state != "") & (t == for_matching(state))
-    return (t != "") & ~t.isin(*PLACEHOLDERS) & ~same_pin & ~same_state & ~t.rlike(rf"\b(?:{NO_CITY})\b") & ~t.rlike(r"\A[0-9]+\z")
+    """Whether a piece may name a city: no placeholder, PIN, state, premise or road word, not only digits. State and PIN are in their
+    forms for matching."""
+    return _may_be_city(for_matching(c), state, pin)
+
+
+def _may_be_city(m: Column, state: Column, pin: Column) -> Column:
+    return (m != "") & ~m.isin(*PLACEHOLDERS) & (m != pin) & (m != state) & ~m.rlike(rf"\b(?:{NO_CITY})\b") & ~m.rlike(r"\A[0-9]+\z")
+
+
+def _cities(pieces: Column, state: Column, pin: Column) -> Column:
+    """Those of the pieces that may name a city. Each piece is brought to its form for matching once, in an array of its own."""
+    both = F.transform(pieces, lambda x: F.struct(x.alias("shown"), for_matching(x).alias("m")))
+    return F.transform(F.filter(both, lambda x: _may_be_city(x["m"], state, pin)), lambda x: x["shown"])
 
 
 def may_be_place(c: Column, city: Column, state: Column) -> Column:
@@ -147,14 +155,14 @@ def city_by_segment(c: Column, state: Column, pin: Column) -> Column:
         return F.regexp_replace(F.regexp_replace(t, f"{WS}+", " "), r"\A[ ,/-]+|[ ,/-]+\z", "")
 
     pieces = F.transform(F.filter(F.split(clean_text(c), ","), lambda x: x != ""), bare)
-    return F.coalesce(F.try_element_at(F.filter(pieces, lambda x: may_be_city(x, state, pin)), F.lit(-1)), F.lit(""))
+    return F.coalesce(F.try_element_at(_cities(pieces, state, pin), F.lit(-1)), F.lit(""))
 
 
 def city_by_suffix(c: Column, state: Column, pin: Column) -> Column:
     """The shortest run of one to four last words that may be a city, '' without one."""
     words = F.split(without_metadata(c, state, pin), " ")
     tails = F.transform(F.sequence(F.lit(1), F.least(F.lit(4), F.size(words))), lambda n: F.array_join(F.slice(words, -n, n), " "))
-    return F.coalesce(F.try_element_at(F.filter(tails, lambda x: may_be_city(x, state, pin)), F.lit(1)), F.lit(""))
+    return F.coalesce(F.try_element_at(_cities(tails, state, pin), F.lit(1)), F.lit(""))
 
 
 def first_of_repeats(c: Column, name: Column, least: int) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..plans.tables import small, table
+from ..plans.tables import small, spread, table
 from .indexes import masters, pin_context
 from .textqueries import q, s_collapsed, s_digits, s_entity, s_in, s_mapped, s_resolving, s_six, s_text, s_checking, s_has
 
@@ -55,9 +55,8 @@ def garbage(address: Column, city: Column, state: Column, pin: Column) -> Column
     return check(F.when((text == "") | text.isin(*t.GARBAGE) | only, "FAIL").when(noise, "AMBIGUOUS").otherwise("PASS"))
 
 
-def district_evidence(address: Column, pin: Column, districts: Column) -> Column:
-    """PASS if one district of the PIN stands in the address, AMBIGUOUS if several do, NOT_FOUND if none, NOT_CHECKED without data."""
-    a = t.entity(address)
+def district_evidence(a: Column, pin: Column, districts: Column) -> Column:
+    """Of the address as an entity: PASS if one district of the PIN stands in the address, AMBIGUOUS if several do, NOT_FOUND if none, NOT_CHECKED without data."""
     found = F.size(F.filter(districts, lambda d: F.contains(F.concat(F.lit(" "), a, F.lit(" ")), F.concat(F.lit(" "), d, F.lit(" ")))))
     status = F.when((t.six_digits(pin) == "") | (a == "") | districts.isNull() | (F.size(districts) == 0), "NOT_CHECKED").when(found == 1, "PASS").when(found > 1, "AMBIGUOUS").otherwise("NOT_FOUND")
     return check(status)
@@ -67,10 +66,10 @@ def checked(rows: DataFrame, pins: DataFrame) -> DataFrame:
     """`rows` (row_id, full_address, city, state, pincode, ...) with one struct for each check and the PIN's districts as text."""
     ctx = pins.select(F.col("pin").alias("ctx_pin"), F.col("n").alias("ctx_n"), F.col("states").alias("ctx_states"), F.col("district_entities").alias("ctx_entities"), F.col("districts").alias("ctx_districts"))
     a, p, s, c = (F.col(k) for k in ("full_address", "pincode", "state", "city"))
-    out = rows.join(small(ctx), t.six_digits(p) == F.col("ctx_pin"), "left")
+    out = rows.join(small(ctx), t.six_digits(p) == F.col("ctx_pin"), "left").withColumn("ctx_address", t.entity(a))  # once, not for every district
     return out.select(
         *rows.columns, present(a).alias("present"), pin_format(p).alias("pin_format"), pin_exists(p, F.col("ctx_n")).alias("pin_exists"), pin_state(p, s, F.col("ctx_states")).alias("pin_state"),
-        garbage(a, c, s, p).alias("garbage"), district_evidence(a, p, F.col("ctx_entities")).alias("district_evidence"), F.coalesce(F.array_join("ctx_districts", "; "), F.lit("")).alias("india_post_district"),
+        garbage(a, c, s, p).alias("garbage"), district_evidence(F.col("ctx_address"), p, F.col("ctx_entities")).alias("district_evidence"), F.coalesce(F.array_join("ctx_districts", "; "), F.lit("")).alias("india_post_district"),
     )
 
 
@@ -79,7 +78,7 @@ CHECKS = ("present", "pin_format", "pin_exists", "pin_state", "garbage", "distri
 
 def op_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks of every row: status and fraction."""
-    rows = table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "pincode")
+    rows = spread(table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "pincode"))
     x_ = checked(rows, pin_context(masters(spark, sf_dir)["india_post"]))
     return x_.select("row_id", *[F.col(f"{c}.status").alias(c) for c in CHECKS], *[F.col(f"{c}.fraction").alias(f"{c}_fraction") for c in CHECKS], F.col("pin_format.auto_correctable").alias("auto_correctable"), "india_post_district")
 

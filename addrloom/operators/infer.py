@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import extract as x
 from ..functions import text as t
 from ..functions.similar import collapse_repeats
-from ..plans.tables import shared, small, table
+from ..plans.tables import shared, small, spread, table
 from .resolve import Reference, keyed, resolved
 from .textqueries import q, s_city, s_clean, s_entity, s_last_pin, s_mapped, s_matching, s_no_decimal, s_resolving, s_six, s_text
 
@@ -81,7 +81,7 @@ def inferred_office(rows: DataFrame, ref: Reference) -> DataFrame:
 
 
 def _address_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "pincode", "district", "post_office")
+    return spread(table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "pincode", "district", "post_office"))
 
 
 def op_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,8 +130,8 @@ def auto_resolved(rows: DataFrame, ref: Reference, respect_clean_city: bool = Fa
     canonical = {n: n2 for n, n2 in ((r.s, r.c) for r in ref.pins.select(F.explode("states").alias("s")).distinct().withColumn("c", t.resolver_state(F.col("s"))).collect())}
     forms = {n: canonical[n] for n in names} | {c.replace(" ", ""): c.replace(" ", "") for c in canonical.values()}
     table_ = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(c).alias("c"), F.lit(n.replace(" ", "")).alias("k")) for n, c in sorted(forms.items()) if len(n) >= 3])
-    plain = t.for_resolving(F.col("address"))
-    squeezed = F.replace(plain, F.lit(" "), F.lit(""))
+    base = base.withColumn("plain", t.for_resolving(F.col("address"))).withColumn("squeezed", F.replace("plain", F.lit(" "), F.lit("")))
+    plain, squeezed = F.col("plain"), F.col("squeezed")
     hit = F.filter(table_, lambda s: F.contains(F.concat(F.lit(" "), plain, F.lit(" ")), F.concat(F.lit(" "), s["n"], F.lit(" "))) | ((F.length(s["k"]) >= 5) & F.contains(squeezed, s["k"])))
     base = base.withColumn("said", F.array_distinct(F.transform(hit, lambda s: s["c"])))
     only = F.when(F.size("said") == 1, F.get("said", F.lit(0)))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions.similar import similarity
-from ..plans.tables import shared, small, table
+from ..plans.tables import shared, small, spread, table
 from .indexes import masters, pin_context
 from .textqueries import s_entity, s_mapped, s_resolving, s_six, s_text
 
@@ -196,7 +196,7 @@ def answered(rows: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "district", "pincode", "post_office")
+    return spread(table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "district", "pincode", "post_office"))
 
 
 def _office(c: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import extract as x
 from ..functions import text as t
-from ..plans.tables import shared, small, table
+from ..plans.tables import shared, small, spread, table
 from .checks import SQL as CHECK_SQL
 from .checks import checked
 from .resolve import SQL as EXACT_SQL
@@ -121,13 +121,13 @@ def scored(rows: DataFrame, ref: Reference) -> DataFrame:
 
 def op_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part scores, score, class and metadata of every address."""
-    rows = table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "district", "pincode", "post_office")
+    rows = spread(table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "district", "pincode", "post_office"))
     return scored(rows, Reference(spark, sf_dir)).select("row_id", *[f"{k}_score" for k in WEIGHTS], "raw_score", "score", "hard_invalid", "class", "metadata")
 
 
 def op_exact_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scores when only exact names resolve: one place passes, several are ambiguous, none fails (a town: isn't checked)."""
-    rows = table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "district", "pincode", "post_office")
+    rows = spread(table(spark, sf_dir, "cleaned_address_data").select("row_id", "full_address", "city", "state", "district", "pincode", "post_office"))
     ref = Reference(spark, sf_dir)
     n = op_exact_resolution(spark, sf_dir).groupBy("row_id").agg(*[F.max(F.when(F.col("kind") == k, F.col("n"))).alias(f"n_{k}") for k in ("district", "ulb", "subdistrict", "village")])
     r = checked(rows, ref.pins).join(n, "row_id", "left")

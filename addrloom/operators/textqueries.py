@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions import extract as x
 from ..functions import text as t
-from ..plans.tables import table
+from ..plans.tables import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def addresses(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return table(spark, sf_dir, "cleaned_address_data").select("row_id", *columns)
+    return spread(table(spark, sf_dir, "cleaned_address_data").select("row_id", *columns))
 
 
 def op_text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
