@@ -10,6 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from pyspark.sql import SparkSession
 
-    s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+    s = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.sql.shuffle.partitions", "2").getOrCreate()
     yield s
     s.stop()
