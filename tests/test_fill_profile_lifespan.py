@@ -1,6 +1,9 @@
+import itertools
 import json
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 import __spark_entry__
 from addrloom.operators import gapfill, profile
 
@@ -95,6 +98,31 @@ def test_expressions_are_the_shorter_description(spark):
     assert got["d", "GOOD"] == ("=GOOD", True) and ("d", None) not in got
 
 
+def test_p5_findings_follow_the_induced_expressions(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(n, "123456") for n in (1, 2) for _ in range(5)] + [(1, "654321")], "load_no int, pincode string").write.parquet(f"{tmp_path}/cleaned_address_data.parquet")
+    spark.createDataFrame([], "load_no int, quality_class string, raw_quality_score double").write.parquet(f"{tmp_path}/quality_outputs.parquet")
+    assert rows(spark, "p5_found", tmp_path) == []
+    induced = profile.expressions
+    other = F.when(F.col("value") == "654321", "99-9999").otherwise(F.col("expression"))
+    monkeypatch.setattr(profile, "expressions", lambda counted: induced(counted).withColumns({"expression": other, "listed": F.lit(False)}))
+    assert (1, "pincode", "invalid") in rows(spark, "p5_found", tmp_path)
+
+
+def test_buckets_by_expression_are_the_declared_ones(spark):
+    pins = [f"{100000 + 7 * i}" for i in range(200)] + [f"0{10000 + i}" for i in range(50)] + [f"{i:0{i % 9 + 1}d}" for i in range(300)]
+    pins += ["12-34", "123456\n", " 123456", "123456.0", "१२३४५६", "12345６", "9+", "999999+", "=123456", "A"]
+    classes = [*profile.CLASSES, *("".join(w) for w in itertools.product("ABCD", repeat=4)), *(f"{'Q' * n}_{'R' * n}" for n in range(1, 30)), "good", "GOOD ", "=GOOD", "A+", "AAAA", "A+_A+", "EXCELLENT\n"]
+    scores = [str(i / 7) for i in range(-20, 800, 3)] + [str(i / 10) for i in range(100)] + ["Infinity", "-Infinity", "-0.0", "0.0", "100.0", "100.00000000000001", "1.0E-4", "1.0E10", "39.99", "40.0", "9.9+", "x"]
+    for several in (1, 40):  # alone, and beside others of its shapes
+        data = [(c, v, several) for c, vs in (("pincode", pins), ("quality_class", classes), ("raw_quality_score", scores)) for v in (vs if several > 1 else vs[-12:])]
+        found = profile.expressions(spark.createDataFrame(data, "column_name string, value string, n long"))
+        want = F.coalesce(profile.declared(F.col("column_name"), F.col("value")), F.lit("invalid"))
+        both = found.join(profile.bucketed(found), ["column_name", "value"]).withColumn("want", want).collect()
+        assert len(both) == len({d[:2] for d in data}) and [r for r in both if r.bucket != r.want] == []
+        kinds = {(r.column_name, r.listed, r.whole) for r in both}
+    assert {("pincode", False, False), ("quality_class", False, True), ("raw_quality_score", False, False)} <= kinds and {k[1:] for k in kinds} == {(True, False), (False, True), (False, False)}
+
+
 def test_profile_of_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "load_no int, pincode string").write.parquet(f"{tmp_path}/cleaned_address_data.parquet")
     spark.createDataFrame([], "load_no int, quality_class string, raw_quality_score double").write.parquet(f"{tmp_path}/quality_outputs.parquet")
